@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source job is a scheduled full refresh.  It has no watermark, event-time
+window, state or late-data rule; lateness is absorbed by re-reading a rolling
+720/730-day window on every run.  So no Structured Streaming operator is
+built here (see README, "Not built").
+"""
