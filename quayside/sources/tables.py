@@ -38,3 +38,24 @@ class TableSet:
     @property
     def spark(self) -> SparkSession:
         return self._spark
+
+
+def blanks_to_null(df: DataFrame) -> DataFrame:
+    """Ingest rule: an empty string is NULL in the source dialect, so every
+    text column maps '' to NULL once, at read time (a projection; it stays in
+    the scan's codegen stage)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StringType
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, StringType):
+            c = F.when(c == F.lit(""), F.lit(None).cast("string")).otherwise(c).alias(f.name)
+        cols.append(c)
+    return df.select(*cols)
+
+
+def read_sources(spark: SparkSession, base: str, names, schemas: dict) -> dict[str, DataFrame]:
+    """Read each named source with its declared schema, blanks normalised."""
+    return {n: blanks_to_null(read_table(spark, base, n, schemas.get(n))) for n in names}

@@ -1,0 +1,212 @@
+"""Hand-made domain rows for the five feeds, built around the edge cases the
+feeds must get right (FIXTURES.md section 3).  Every value is explicit so a
+test can say exactly which row should land where."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+from quayside.context import RunContext
+from quayside.sources.schemas import DIMENSIONS, SOURCES, struct
+
+AS_OF = dt.datetime(2024, 6, 15, 12, 34, 56)
+CTX = RunContext(run_seq=7, as_of=AS_OF)
+CUT_730 = dt.datetime(2022, 6, 16)   # day(as_of) - 730 days
+CUT_720 = dt.datetime(2022, 6, 26)   # day(as_of) - 720 days
+SEC = dt.timedelta(seconds=1)
+
+
+def ts(y, m, d, hh=0, mm=0, ss=0):
+    return dt.datetime(y, m, d, hh, mm, ss)
+
+
+def _rows(schema_ddl: str, dicts: list[dict]):
+    names = [f.split()[0] for f in _split_fields(schema_ddl)]
+    return [tuple(r.get(n) for n in names) for r in dicts]
+
+
+def _split_fields(ddl_text: str) -> list[str]:
+    out, depth, cur = [], 0, ""
+    for ch in ddl_text:
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        if ch == "," and depth == 0:
+            out.append(cur.strip())
+            cur = ""
+        else:
+            cur += ch
+    if cur.strip():
+        out.append(cur.strip())
+    return out
+
+
+def _df(spark, ddl_text, dicts):
+    return spark.createDataFrame(_rows(ddl_text, dicts), struct(ddl_text))
+
+
+AMS = [
+    dict(das_id=D(1), trip_id=D(101), trip_source="IVR", permit_nbr="410001", activity_code="SES-RSA-0001X",
+         date_sail=ts(2024, 3, 1), date_land=ts(2024, 3, 5, 6, 30)),            # docid by midpoint
+    dict(das_id=D(2), trip_id=D(102), trip_source="IVR", permit_nbr="410002", activity_code="MNKxxxxxxxxxR",
+         date_sail=CUT_730 - dt.timedelta(days=2), date_land=CUT_730),          # R at 13, exactly on cutoff
+    dict(das_id=D(3), trip_id=D(103), trip_source="IVR", permit_nbr="410002", activity_code="HER12",
+         date_sail=ts(2024, 1, 1), date_land=ts(2024, 1, 2)),                     # 5 chars: dropped
+    dict(das_id=D(4), trip_id=D(104), trip_source="DAS", permit_nbr="410003", activity_code="MID-RSA-0004Y",
+         date_sail=CUT_730 - dt.timedelta(days=3), date_land=CUT_730 - SEC),    # one second early: dropped
+    dict(das_id=D(5), trip_id=D(105), trip_source="DAS", permit_nbr="410003", activity_code="XYZ-RSA-0005Z",
+         date_sail=ts(2023, 4, 30), date_land=ts(2023, 5, 1)),                    # no doc, not IVR: own id
+]
+
+DOCUMENTS = [
+    dict(docid=D(9001), vessel_id=D(1), date_sail=ts(2024, 2, 28), date_land=ts(2024, 3, 6), tripcatg=4,
+         vessel_permit_num="410001", trip_activity_type=0, crew=3),
+    dict(docid=D(9002), vessel_id=D(2), date_sail=ts(2024, 4, 10), date_land=ts(2024, 4, 12), tripcatg=1,
+         vessel_permit_num="410004", trip_activity_type=7),
+    dict(docid=D(9003), vessel_id=None, date_sail=ts(2024, 4, 10), date_land=ts(2024, 4, 12), tripcatg=4,
+         vessel_permit_num="410005", trip_activity_type=1),                       # NULL vessel: dropped
+    dict(docid=D(9004), vessel_id=D(3), date_sail=ts(2024, 1, 3), date_land=ts(2024, 1, 4), tripcatg=2,
+         vessel_permit_num="410006", trip_activity_type=9),                      # not in trip set
+]
+
+IMAGES = [
+    dict(imgid=D(1), docid=D(9001), serial_num="555001", area="521"),
+    dict(imgid=D(2), docid=D(9002), serial_num=" 555002 ", area="999"),
+    dict(imgid=D(3), docid=D(9003), serial_num="555003", area="521"),
+    dict(imgid=D(4), docid=D(9004), serial_num="555004", area="521"),
+]
+
+CATCH = [
+    dict(catch_id=D(1), imgid=D(1), species_id="0811", kept=D("100.00"), dealer_num=D(3), date_sold=ts(2024, 3, 7)),
+    dict(catch_id=D(2), imgid=D(1), species_id="NC", kept=D("0.00"), dealer_num=None),
+    dict(catch_id=D(3), imgid=D(1), species_id="8021", kept=D("5.00"), dealer_num=None),
+    dict(catch_id=D(4), imgid=D(1), species_id="3651", kept=D("7.00"), dealer_num=D(99998)),
+    dict(catch_id=D(5), imgid=D(2), species_id="0811", kept=D("2.00"), dealer_num=D(4242), date_sold=ts(2024, 4, 13)),
+    dict(catch_id=D(6), imgid=D(3), species_id="0811", kept=D("9.00"), dealer_num=D(1)),
+]
+
+DEALER = [
+    dict(docid=D(9001), dealnum=D(4242), permit="410001", nespp3="081", species_itis="00164712", vtrserno="0",
+         dealer_rpt_id=D(12345678901234), landing_seq=D(1), ddate=ts(2024, 3, 7), hullnum="H1"),
+    dict(docid=None, dealnum=None, permit=None, nespp3=None, species_itis="000", vtrserno=" 77 ",
+         dealer_rpt_id=D(2), landing_seq=D(2), ddate=ts(2024, 3, 8)),            # qualifies by source R
+    dict(docid=None, dealnum=D(7), permit="330123", nespp3="365", species_itis="00564123", vtrserno="ABC",
+         dealer_rpt_id=D(12345678901234), landing_seq=D(3), ddate=ts(2024, 3, 9)),  # source R; fallback > bigint
+    dict(docid=None, dealnum=D(7), permit="330124", nespp3="365", species_itis="00564123", vtrserno="12A4",
+         dealer_rpt_id=D(5), landing_seq=D(4), ddate=ts(2024, 3, 9)),             # quarantine
+    dict(docid=D(9001), dealnum=D(8), permit="410001", nespp3="081", species_itis="00164712", vtrserno="555010",
+         dealer_rpt_id=D(6), landing_seq=D(5), ddate=ts(2024, 3, 9)),             # docid, serial and R: once
+    dict(docid=D(8888), dealnum=D(8), permit="410009", nespp3="081", species_itis="00164712", vtrserno="999",
+         dealer_rpt_id=D(7), landing_seq=D(6), ddate=ts(2024, 3, 9)),             # qualifies by nothing
+    dict(docid=D(9001), dealnum=D(8), permit="410001", nespp3="081", species_itis="00164712", vtrserno="1",
+         dealer_rpt_id=D(8), landing_seq=D(7), ddate=CUT_730 - SEC),             # outside window
+]
+
+LANDING_SOURCE = [dict(landing_seq=D(2), catch_source="R"), dict(landing_seq=D(3), catch_source="R"),
+                  dict(landing_seq=D(4), catch_source="R"), dict(landing_seq=D(5), catch_source="R"),
+                  dict(landing_seq=D(6), catch_source="D")]
+
+IVR_TRIP = [
+    dict(rsa_tripid=D(1), rsa_trip_de=ts(2024, 5, 1), rsa_vtrnbr="555001", vessel_permit_number="410001",
+         rsa_ivr_project_id="P1", rsa_sfd_project_id="S1", date_rsa_trip_started=ts(2024, 4, 1),
+         date_rsa_trip_ended=None),
+    dict(rsa_tripid=D(2), rsa_trip_de=ts(2024, 5, 2), rsa_vtrnbr="0", vessel_permit_number="410001",
+         rsa_ivr_project_id="P2", rsa_sfd_project_id="S1", date_rsa_trip_started=ts(2024, 4, 1),
+         date_rsa_trip_ended=ts(2025, 1, 1)),
+    dict(rsa_tripid=D(3), rsa_trip_de=ts(2024, 5, 3), rsa_vtrnbr=None, vessel_permit_number="111111",
+         rsa_ivr_project_id="P3"),                                                 # test permit: removed
+    dict(rsa_tripid=D(4), rsa_trip_de=ts(2024, 5, 4), rsa_vtrnbr="777", vessel_permit_number=None,
+         rsa_ivr_project_id="P4"),                                                 # NULL permit: kept
+    dict(rsa_tripid=D(5), rsa_trip_de=ts(2024, 5, 5), rsa_vtrnbr="778", vessel_permit_number="410002"),  # no report
+    dict(rsa_tripid=D(6), rsa_trip_de=ts(2024, 5, 6), rsa_vtrnbr="779", vessel_permit_number="410002"),  # NULL type
+    dict(rsa_tripid=D(7), rsa_trip_de=ts(2024, 5, 7), rsa_vtrnbr="780", vessel_permit_number="410002"),  # LEGACY
+    dict(rsa_tripid=D(8), rsa_trip_de=CUT_720 - SEC, rsa_vtrnbr="781", vessel_permit_number="410002"),  # old
+]
+IVR_REPORT = [
+    dict(rsa_trip_reportid=D(11), rsa_tripid=D(1), report_type="PRELAND"),
+    dict(rsa_trip_reportid=D(12), rsa_tripid=D(2), report_type="PRELAND"),
+    dict(rsa_trip_reportid=D(13), rsa_tripid=D(3), report_type="PRELAND"),
+    dict(rsa_trip_reportid=D(14), rsa_tripid=D(4), report_type="PRELAND"),
+    dict(rsa_trip_reportid=D(16), rsa_tripid=D(6), report_type=None),
+    dict(rsa_trip_reportid=D(17), rsa_tripid=D(7), report_type="LEGACY"),
+    dict(rsa_trip_reportid=D(18), rsa_tripid=D(8), report_type="PRELAND"),
+]
+IVR_LANDING = [
+    dict(rsa_trip_landingid=D(101), rsa_trip_reportid=D(11), nespp3="081", speciesid="SKT",
+         date_created=ts(2024, 4, 2)),
+    dict(rsa_trip_landingid=D(102), rsa_trip_reportid=D(11), nespp3="365", speciesid="MNK",
+         date_created=ts(2024, 4, 2)),
+    dict(rsa_trip_landingid=D(103), rsa_trip_reportid=D(12), nespp3="081", speciesid="COD",
+         date_created=ts(2024, 4, 2)),
+    dict(rsa_trip_landingid=D(104), rsa_trip_reportid=D(13), nespp3="081", speciesid="COD"),
+    # report 14 has no landing: kept with NULL landing columns
+]
+
+VMS_END = [
+    dict(message_id=D(1), form_type="END", rsa_efp_hail_id=D(501), time_sent=ts(2024, 3, 5), vessel_permit_number="410001",
+         hull_id="H1", vtr_number="555001", rsa_program="SCALLOP", project_code="PC1",
+         estimated_offload=ts(2024, 3, 6), species_code="COD", species_name="COD FISH", activity_code="SES"),
+    dict(message_id=D(2), form_type="END", rsa_efp_hail_id=D(502), time_sent=ts(2024, 3, 5), vessel_permit_number="410002",
+         hull_id="H2", vtr_number="0", rsa_program="MONKFISH", project_code="PC2",
+         estimated_offload=ts(2024, 3, 6), species_code="SKT", species_name="SKATE WING"),
+    dict(message_id=D(3), form_type="END", rsa_efp_hail_id=D(503), time_sent=ts(2022, 1, 5), vessel_permit_number="410002",
+         vtr_number="5", estimated_offload=CUT_720 - SEC, species_code="COD"),         # outside window
+]
+VMS_START = [
+    dict(message_id=D(11), rsa_efp_start_hail_id=D(601), time_sent=ts(2024, 3, 1), vessel_permit_number="410001",
+         vtr_number=None, project_code="PC1", record_is_deleted=0, date_created=ts(2024, 3, 1)),
+    dict(message_id=D(12), rsa_efp_start_hail_id=D(602), time_sent=ts(2024, 3, 1), vessel_permit_number="410001",
+         vtr_number="42", project_code="PC1", record_is_deleted=1, date_created=ts(2024, 3, 1)),  # deleted
+]
+
+SPECIES_REF = [
+    dict(nespp3="081", speciescd="COD", spp_common_name="COD", rsa_spp=1, rsa_program="SCALLOP"),
+    dict(nespp3="365", speciescd="SKT", spp_common_name="SKATE, WINTER", rsa_spp=1, rsa_program="MONKFISH"),
+    dict(nespp3="365", speciescd="MNK", spp_common_name="MONKFISH", rsa_spp=0, rsa_program="MONKFISH"),
+    dict(nespp3="802", speciescd="SQD", spp_common_name="SQUID", rsa_spp=0, rsa_program=None),
+]
+RESEARCH_CODE = [dict(permit="410001", state_fed="STATE"), dict(permit="410001", state_fed="FED"),
+                 dict(permit="410002", state_fed="FED")]
+
+DIM_ROWS = {
+    "species_code": [dict(species_id="0811", nespp3="081", nespp4="0811"),
+                     dict(species_id="8021", nespp3="802", nespp4="8021"),
+                     dict(species_id="3651", nespp3="365", nespp4="3651")],
+    "species_itis": [dict(nespp3="081", itis="164712"), dict(nespp3="365", itis="564123"),
+                     dict(nespp3="802", itis="82371")],
+    "species_name": [dict(nespp4="0811", common_name="COD, ROUND"), dict(nespp4="3651", common_name="SKATE WINGS")],
+    "species_plan": [dict(nespp3="081", plan="NE MULTISPECIES"), dict(nespp3="365", plan="SKATE")],
+    "plan_calendar": [dict(plan="NE MULTISPECIES", calendar="MAY TO APR"), dict(plan="SKATE", calendar="MAY TO APR")],
+    "permit_category": [
+        dict(permit="410001", hull="H1", itis="164712", valid_from=ts(2023, 5, 1), valid_to=ts(2024, 4, 30),
+             category="A", moratorium_code="M1", report_frequency="MONTHLY"),
+        dict(permit="410001", hull="H1", itis="164712", valid_from=ts(2024, 1, 1), valid_to=ts(2024, 12, 31),
+             category="C", moratorium_code="M1", report_frequency="WEEKLY"),
+        dict(permit="410001", hull="H1", itis="164712", valid_from=ts(2020, 1, 1), valid_to=ts(2021, 1, 1),
+             category="Z", moratorium_code="M9", report_frequency="DAILY"),
+    ],
+    "project": [dict(project_code="PC1", project_number="S1", program="SCALLOP", valid_from=ts(2024, 1, 1),
+                     valid_to=ts(2024, 12, 31)),
+                dict(project_code="PC2", project_number="S2", program="MONKFISH", valid_from=ts(2023, 1, 1),
+                     valid_to=ts(2023, 12, 31))],
+    "landing_source": LANDING_SOURCE,
+    "stock_area": [dict(nespp3="081", area="521", stock_id="CODGBE")],
+    "vessel_name": [dict(permit="410001", vessel_name="SEA HAWK"), dict(permit="410004", vessel_name="TIDE")],
+    "dealer_year": [dict(dealer_num=D(3), year=2024, dealer_name="DEALER THREE"),
+                    dict(dealer_num=D(4242), year=2024, dealer_name="PIER FISH")],
+    "conversion": [dict(species_id="0811", dealer_num=D(3), factor=D("1.170000"))],
+}
+
+SRC_ROWS = {
+    "ams_trip": AMS, "dealer_landing": DEALER, "ivr_trip": IVR_TRIP, "ivr_report": IVR_REPORT,
+    "ivr_landing": IVR_LANDING, "vms_end_hail": VMS_END, "vms_start_hail": VMS_START, "document": DOCUMENTS,
+    "images": IMAGES, "catch": CATCH, "species_ref": SPECIES_REF, "research_code": RESEARCH_CODE,
+}
+
+
+def sources(spark):
+    src = {n: _df(spark, SOURCES[n], rows) for n, rows in SRC_ROWS.items()}
+    dims = {n: _df(spark, DIMENSIONS[n], DIM_ROWS[n]) for n in DIMENSIONS}
+    return src, dims
