@@ -44,14 +44,21 @@ def dimension(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     return best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
+_SIZE_PROOFS: dict[int, tuple[DataFrame, int]] = {}
+
+
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``dim`` only after proving it holds at most ``max_rows`` rows.
 
-    The check is one bounded action (``limit(max_rows + 1).count()``); above
-    the bound the dimension is returned untouched and joins by shuffle.
+    The check is one bounded action (``limit(max_rows + 1).count()``), done
+    once per dimension object and remembered; above the bound the dimension
+    is returned untouched and joins by shuffle.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    seen = _SIZE_PROOFS.get(id(dim))
+    if seen is None or seen[0] is not dim:
+        seen = (dim, dim.limit(max_rows + 1).count())
+        _SIZE_PROOFS[id(dim)] = seen
+    return F.broadcast(dim) if seen[1] <= max_rows else dim
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
@@ -76,7 +83,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
     cond = [F.col(f) == F.col(f"{tag}_k{i}") for i, (f, _) in enumerate(pairs)]
 
     if small:
-        right = broadcast_if_small(right, max_rows)
+        if broadcast_if_small(dim, max_rows) is not dim:
+            right = F.broadcast(right)
         joined = df.join(right, on=_and(cond), how="left")
     elif spread_null_keys:
         any_null = _or([F.col(f).isNull() for f, _ in pairs])

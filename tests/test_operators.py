@@ -1,0 +1,148 @@
+"""Operators against brute force on small random inputs, including hot keys,
+NULL keys and bucket edges."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quayside.operators import (
+    backfill, code_list, dimension, fill_defaults, interval_lookup, lag_within, lookup,
+    membership_flag, ordered_membership, purge, union_by_name,
+)
+
+BASE = dt.datetime(2024, 1, 1)
+
+
+def test_dimension_is_unique_and_deterministic(spark):
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "z", 1), (None, "n", 1)], "k int, v string, w int")
+    d = dimension(df, ["k"], ["v", "w"])
+    assert sorted(tuple(r) for r in d.collect()) == [(1, "b", 2), (2, "z", 1)]
+    d2 = dimension(df, ["k"], ["v"], prefer=[F.col("w")])
+    assert sorted(tuple(r) for r in d2.collect()) == [(1, "a"), (2, "z")]
+
+
+def test_lookup_keeps_row_count_and_null_keys(spark):
+    fact = spark.createDataFrame([(i, None if i % 3 == 0 else i % 5) for i in range(300)], "id int, k int")
+    dim = spark.createDataFrame([(k, f"v{k}") for k in range(4)], "k int, name string")
+    out = lookup(fact, dim, ["k"], ["name"])
+    assert out.count() == 300
+    rows = {r.id: r.name for r in out.collect()}
+    for i in range(300):
+        k = None if i % 3 == 0 else i % 5
+        assert rows[i] == (f"v{k}" if k is not None and k < 4 else None)
+    small = lookup(fact, dim, ["k"], ["name"], small=True)
+    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in out.collect())
+
+
+def test_membership_flag_with_nulls(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    ks = spark.createDataFrame([(2,), (2,), (None,)], "m int")
+    got = sorted((r.k, r.f) for r in membership_flag(df, "k", ks, "m", "f").collect()
+                 if r.k is not None)
+    assert got == [(1, False), (2, True)]
+    assert [r.f for r in membership_flag(df, "k", ks, "m", "f").where("k is null").collect()] == [False]
+
+
+def test_ordered_membership_first_set_wins(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "p string")
+    tbl = spark.createDataFrame([("a", "STATE"), ("a", "FED"), ("b", "FED")], "permit string, sf string")
+    out = ordered_membership(df, "p", tbl, "permit", "sf", [("STATE", "STATE"), ("FED", "FEDERAL")], "j")
+    assert {r.p: r.j for r in out.collect()} == {"a": "STATE", "b": "FEDERAL", "c": None, None: None}
+
+
+def _random_spans(rng, n_keys, n, hot=None):
+    rows = []
+    for i in range(n):
+        k = hot if hot is not None and rng.random() < 0.5 else rng.randrange(n_keys)
+        start = BASE + dt.timedelta(days=rng.randrange(0, 120), hours=rng.randrange(24))
+        end = start + dt.timedelta(days=rng.randrange(0, 20), hours=rng.randrange(24))
+        rows.append((k, start, end, i))
+    return rows
+
+
+def test_interval_lookup_matches_brute_force(spark):
+    rng = random.Random(7)
+    spans = _random_spans(rng, 6, 80, hot=0)
+    probes = [(rng.randrange(7), BASE + dt.timedelta(days=rng.randrange(0, 140), minutes=rng.randrange(1440)))
+              for _ in range(300)]
+    probes += [(s[0], s[1]) for s in spans[:20]] + [(s[0], s[2]) for s in spans[20:40]]  # exact edges
+    sdf = spark.createDataFrame(spans, "permit int, s timestamp_ntz, e timestamp_ntz, docid int")
+    pdf = spark.createDataFrame(probes, "permit int, t timestamp_ntz")
+    for width in (1, 7, 30):
+        got = {(r.permit, r.t): r.docid for r in
+               interval_lookup(pdf, sdf, ["permit"], "t", "s", "e", ["docid"], prefer=[F.col("s"), F.col("docid")],
+                               bucket_days=width).collect()}
+        for k, t in set(probes):
+            hits = [(s, d) for (kk, s, e, d) in spans if kk == k and s <= t <= e]
+            want = max(hits)[1] if hits else None
+            assert got.get((k, t)) == want, (width, k, t)
+
+
+def test_code_list_matches_brute_force(spark):
+    rng = random.Random(11)
+    codes = ["A", "B", "C", "D"]
+    rows = []
+    for i in range(120):
+        k = 0 if rng.random() < 0.4 else rng.randrange(5)
+        start = BASE + dt.timedelta(days=rng.randrange(0, 90), hours=rng.randrange(24))
+        end = start + dt.timedelta(days=rng.choice([0, 0, 1, 3, 10, 45]), hours=rng.randrange(24))
+        rows.append((k, start, end, rng.choice(codes)))
+    probes = [(rng.randrange(6), BASE + dt.timedelta(days=rng.randrange(0, 150), hours=rng.randrange(24)))
+              for _ in range(300)]
+    probes += [(r[0], r[1]) for r in rows[:25]] + [(r[0], r[2]) for r in rows[25:50]]
+    vdf = spark.createDataFrame(rows, "permit int, f timestamp_ntz, t timestamp_ntz, code string")
+    pdf = spark.createDataFrame(probes, "permit int, at timestamp_ntz")
+    for inclusive in (True, False):
+        for width in (1, 7, 30):
+            got = {(r.permit, r.at): r.lst for r in
+                   code_list(pdf, vdf, ["permit"], "at", "f", "t", "code", "lst", end_inclusive=inclusive,
+                             bucket_days=width).collect()}
+            for k, at in set(probes):
+                hit = sorted({c for (kk, f, t, c) in rows
+                              if kk == k and f <= at and (at <= t if inclusive else at < t)})
+                want = ",".join(hit) if hit else None
+                assert got.get((k, at)) == want, (inclusive, width, k, at)
+
+
+def test_lag_within_equals_global_lag_with_hot_group(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        g = "HOT" if rng.random() < 0.4 else rng.choice(["a", "b", "c", None])
+        lid = None if rng.random() < 0.15 else rng.randrange(0, 5000)
+        rows.append((g, lid, i // 3, i, f"p{rng.randrange(50)}"))
+    df = spark.createDataFrame(rows, "g string, lid int, trip int, rep int, proj string")
+    order = [F.col("lid").asc_nulls_last(), F.col("trip").asc(), F.col("rep").asc()]
+    bucket = F.struct(F.col("lid").isNull().cast("int").alias("n"),
+                      F.floor(F.coalesce(F.col("lid"), F.col("trip")) / 64).alias("b"))
+    got = {r.rep: r.prev for r in lag_within(df, "g", order, "proj", "prev", bucket).collect()}
+    w = Window.orderBy(F.col("g").asc_nulls_last(), *order)
+    ref = df.select("rep", F.when(F.lag("g").over(w) == F.col("g"), F.lag("proj").over(w)).alias("prev"))
+    want = {r.rep: r.prev for r in ref.collect()}
+    assert got == want
+
+
+def test_purge_keeps_null(spark):
+    df = spark.createDataFrame([("111111",), ("1",), (None,)], "p string")
+    got = sorted(str(r.p) for r in purge(df, "p", ["111111", "555555"]).collect())
+    assert got == ["1", "None"]
+
+
+def test_backfill_guard_and_fill(spark):
+    df = spark.createDataFrame([(1, "s1", None), (1, None, None), (2, "s2", "keep"), (3, "s3", None)],
+                               "k int, serial string, tgt string")
+    dim = spark.createDataFrame([(1, "s1", "N1"), (2, "s2", "N2"), (1, None, "NX")], "k int, serial string, v string")
+    out = backfill(df, dim, {"k": "k", "serial": "serial"}, {"tgt": "v"}, guard="serial")
+    got = sorted(((r.k, r.serial, r.tgt) for r in out.collect()), key=str)
+    assert got == sorted([(1, "s1", "N1"), (1, None, None), (2, "s2", "keep"), (3, "s3", None)], key=str)
+    filled = fill_defaults(out, {"tgt": "N"})
+    assert sorted(r.tgt for r in filled.collect()) == ["N", "N", "N1", "keep"]
+
+
+def test_union_by_name_fills_missing(spark):
+    a = spark.createDataFrame([(1, 2.5)], "id int, kept double")
+    b = spark.createDataFrame([(2,)], "id int")
+    out = union_by_name(a, b)
+    assert sorted((r.id, r.kept) for r in out.collect()) == [(1, 2.5), (2, None)]
