@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows a dimension may hold to be broadcast explicitly.  Larger dimensions
 # are left to the planner: AQE re-plans a sort-merge join as a broadcast from
@@ -80,6 +81,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
     tag = "_lk"
     right = dim.select(*[F.col(d).alias(f"{tag}_k{i}") for i, (_, d) in enumerate(pairs)],
                        *[F.col(c).alias(f"{tag}_v_{o}") for c, o in out_map.items()])
+    right = right.where(_and([F.col(f"{tag}_k{i}").isNotNull() for i in range(len(pairs))]))
     cond = [F.col(f) == F.col(f"{tag}_k{i}") for i, (f, _) in enumerate(pairs)]
 
     if small:
@@ -87,13 +89,22 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
             right = F.broadcast(right)
         joined = df.join(right, on=_and(cond), how="left")
     elif spread_null_keys:
+        # One struct key (fact keys + salt) against (dimension keys + 0):
+        # the shuffle hashes the whole struct, so rows whose key has a NULL
+        # part - they can never match - spread over NULL_KEY_SPREAD tasks
+        # instead of piling into one.  Being a single expression, the key
+        # cannot be satisfied by a partitioning on the bare key, so the
+        # planner cannot drop the salt by re-using the dimension's layout.
         any_null = _or([F.col(f).isNull() for f, _ in pairs])
         salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
-                                       F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0))
-        left = df.withColumn(f"{tag}_salt", salt.cast("int"))
-        right = right.withColumn(f"{tag}_rsalt", F.lit(0))
-        joined = left.join(right, on=_and(cond + [F.col(f"{tag}_salt") == F.col(f"{tag}_rsalt")]),
-                           how="left").drop(f"{tag}_salt", f"{tag}_rsalt")
+                                       F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0)).cast("int")
+        types = [_common_type(df.schema[f].dataType, dim.schema[d].dataType) for f, d in pairs]
+        left_key = F.struct(*[F.col(f).cast(t).alias(f"k{i}") for i, ((f, _), t) in enumerate(zip(pairs, types))],
+                            salt.alias("s"))
+        left = df.withColumn(f"{tag}_lkey", left_key)
+        right = right.withColumn(f"{tag}_rkey", F.struct(
+            *[F.col(f"{tag}_k{i}").cast(t).alias(f"k{i}") for i, t in enumerate(types)], F.lit(0).alias("s")))
+        joined = left.join(right, on=F.col(f"{tag}_lkey") == F.col(f"{tag}_rkey"), how="left")
     else:
         joined = df.join(right, on=_and(cond), how="left")
 
@@ -101,6 +112,25 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
     return joined.select(*keep)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type both key sides widen to without loss (for the struct key)."""
+    if a == b:
+        return a
+    if isinstance(a, _INTEGRAL) and isinstance(b, _INTEGRAL):
+        return T.LongType()
+    if isinstance(a, (T.DecimalType,) + _INTEGRAL) and isinstance(b, (T.DecimalType,) + _INTEGRAL):
+        scale = max(getattr(a, "scale", 0), getattr(b, "scale", 0))
+        return T.DecimalType(38, scale)
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    if isinstance(a, T.StringType) or isinstance(b, T.StringType):
+        return T.StringType()
+    return a
+
+
 def _and(conds):
     out = conds[0]
     for c in conds[1:]:
