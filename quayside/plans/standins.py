@@ -47,9 +47,11 @@ STANDIN_CALENDARS = [("STANDARD", "JAN TO DEC"), ("ECONOMY", "MAR TO FEB"), ("ME
 STANDIN_STOCK_SIZES = (1, 4, 7, 10, 13, 16, 19, 22, 25, 28, 31, 34, 37)
 # Stand-in test permits (user ids as permits).
 STANDIN_TEST_PERMITS = ("11", "55", "88")
-# Bucket widths for the bucketed range joins.
-MIDPOINT_BUCKET_DAYS = 7
-CODE_LIST_BUCKET_DAYS = 30
+# Bucket widths for the bucketed range joins: about one span long, so each
+# span touches at most two buckets (the 60-day document spans; the one-year
+# validity rows, whose two edge pieces then collapse per code).
+MIDPOINT_BUCKET_DAYS = 61
+CODE_LIST_BUCKET_DAYS = 365
 # Id-range width of the sub-groups the skew-safe LAG cuts a group into.
 LAG_BUCKET_WIDTH = 1024
 
