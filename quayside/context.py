@@ -30,6 +30,9 @@ SESSION_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column call for error
+    # messages; plan construction of the wide feed projections pays for it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,16 +1,16 @@
 """Relational operators the feeds are built from.  Each is a composition of
 DataFrame operations, so Catalyst and AQE plan them."""
 
-from quayside.operators.lookup import dimension, lookup, broadcast_if_small
+from quayside.operators.lookup import dimension, lookup, broadcast_if_small, prove_small
 from quayside.operators.interval import interval_lookup, code_list
 from quayside.operators.membership import membership_flag, ordered_membership
 from quayside.operators.window import lag_within
 from quayside.operators.maintenance import (
-    backfill, fill_defaults, purge, union_by_name, typed_nulls,
+    backfill, fill_defaults, materialize, purge, union_by_name, typed_nulls,
 )
 
 __all__ = [
-    "dimension", "lookup", "broadcast_if_small", "interval_lookup", "code_list",
+    "dimension", "lookup", "broadcast_if_small", "prove_small", "interval_lookup", "code_list",
     "membership_flag", "ordered_membership", "lag_within", "backfill",
-    "fill_defaults", "purge", "union_by_name", "typed_nulls",
+    "fill_defaults", "materialize", "purge", "union_by_name", "typed_nulls",
 ]

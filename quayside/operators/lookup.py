@@ -62,6 +62,22 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -
     return F.broadcast(dim) if seen[1] <= max_rows else dim
 
 
+def prove_small(dims: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
+    """Prove the size bound of several dimensions in one bounded action (a
+    union of ``limit(max_rows + 1)`` counts), so a feed that joins many
+    small reference tables pays for one job, not one per table."""
+    todo = [d for d in dims if _SIZE_PROOFS.get(id(d), (None,))[0] is not d]
+    if not todo:
+        return
+    parts = [d.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, d in enumerate(todo)]
+    u = parts[0]
+    for q in parts[1:]:
+        u = u.unionByName(q)
+    counts = {r["_i"]: r["n"] for r in u.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for i, d in enumerate(todo):
+        _SIZE_PROOFS[id(d)] = (d, counts.get(i, 0))
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
            cols: Sequence[str] | dict | None = None, *, small: bool = False,
            max_rows: int = DEFAULT_BROADCAST_ROWS, spread_null_keys: bool = True) -> DataFrame:

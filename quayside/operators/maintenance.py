@@ -48,3 +48,19 @@ def typed_nulls(spec: dict) -> list[Column]:
     """Typed NULL placeholders ``{name: type}`` so the written schema is the
     declared one (never ``void``)."""
     return [F.lit(None).cast(t).alias(n) for n, t in spec.items()]
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage before a fan-out.
+
+    Operators that read their input twice (distinct probes + join back, the
+    skew-safe LAG) would otherwise recompute every join above them once per
+    branch.  A reliable checkpoint writes the rows once to the session's
+    ``spark.checkpoint.dir`` (a shared folder on a cluster; set locally only
+    when unset) and both branches then read files, which also survives a
+    lost executor without replaying the upstream joins.
+    """
+    from quayside.context import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -11,7 +11,7 @@ from quayside.functions.codes import (
     SPECIES_FLAG_DEFAULT, STOCK_AREA_SPECIES, TRIP_ACTIVITY_TYPE, TRIP_CATEGORY, dealer_name_gate,
     dealer_type, disposition,
 )
-from quayside.operators import fill_defaults, lookup, typed_nulls
+from quayside.operators import fill_defaults, lookup, materialize, typed_nulls
 from quayside.plans.common import (
     four_fishing_years, plan_year, run_stamp, skate_flag, species_attributes, text_dates, with_code_list,
     itis3,
@@ -32,6 +32,9 @@ def build(ctx: RunContext, documents: DataFrame, images: DataFrame, catches: Dat
           trip_docids: DataFrame) -> DataFrame:
     # Most selective first: the document window, the NOT NULL vessel and the
     # trip-set semi join shrink the smallest table before the two big joins.
+    dims.prove_reference("species_code", "species_name", "species_itis", "species_plan", "plan_calendar",
+                         "rsa_species", "program_target", "vessel_name", "stock_area", "conversion",
+                         "dealer_year")
     d = documents.where(F.col("vessel_id").isNotNull() & lookback("date_land", ctx.cutoff_for("vessel")))
     d = d.join(trip_docids.select("docid").where(F.col("docid").isNotNull()), "docid", "left_semi")
     i = images.select(F.col("docid").alias("_i_docid"), *IMG_COLS)
@@ -49,6 +52,7 @@ def build(ctx: RunContext, documents: DataFrame, images: DataFrame, catches: Dat
     t = t.withColumn("_sale_year", F.year("date_sold"))
     t = lookup(t, dims.dealer_year, {"dealer_num": "dealer_num", "_sale_year": "year"},
                {"dealer_name": "_dealer"}, small=True)
+    t = materialize(t)   # the code list below reads t twice
     t = with_code_list(t, dims, {"vessel_permit_num": "permit", "_itis": "itis"}, "date_land", "category",
                        "fmp_cat_code_list")
 
