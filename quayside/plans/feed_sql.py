@@ -46,6 +46,103 @@ CTE = {
   FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM'))""",
 }
 
+_PROGRAMS = "['SCALLOP', 'MONKFISH', 'MID-ATLANTIC', 'HERRING']"
+_EVENTS = "(SELECT * REPLACE (ts - INTERVAL 8215 DAY AS ts) FROM events)"
+
+CTE.update({
+    "vms_end_hail": f"""vms_end_hail AS (
+  SELECT CAST(event_id AS DECIMAL(38,0)) AS message_id, 'END' AS form_type,
+         CAST(event_id AS DECIMAL(38,0)) AS rsa_efp_hail_id, ts AS time_sent,
+         {_PERMIT.format(c='user_id')} AS vessel_permit_number, 'H' || CAST(user_id % 100 AS VARCHAR) AS hull_id,
+         substr(props, 7, length(props) - 7) AS vtr_number,
+         ({_PROGRAMS})[CAST(user_id % 4 AS INTEGER) + 1] AS rsa_program,
+         'PC' || CAST(user_id % 40 AS VARCHAR) AS project_code,
+         CAST(NULL AS VARCHAR) AS landing_city, CAST(NULL AS VARCHAR) AS landing_state,
+         CAST(NULL AS TIMESTAMP) AS estimated_arrival, ts + INTERVAL 1 DAY AS estimated_offload,
+         CAST(NULL AS VARCHAR) AS species_column, CAST(NULL AS VARCHAR) AS species_name,
+         'S' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') AS species_code,
+         CAST(value AS DECIMAL(18,2)) AS species_kept, CAST(NULL AS DECIMAL(18,2)) AS species_discard,
+         CAST(NULL AS VARCHAR) AS herring_area, props AS activity_code
+  FROM {_EVENTS} WHERE event_type = 'purchase')""",
+    "vms_start_hail": f"""vms_start_hail AS (
+  SELECT CAST(event_id AS DECIMAL(38,0)) AS message_id, CAST(event_id AS DECIMAL(38,0)) AS rsa_efp_start_hail_id,
+         ts AS time_sent, {_PERMIT.format(c='user_id')} AS vessel_permit_number, CAST(NULL AS VARCHAR) AS hull_id,
+         substr(props, 7, length(props) - 7) AS vtr_number, 'PC' || CAST(user_id % 40 AS VARCHAR) AS project_code,
+         CAST(NULL AS VARCHAR) AS landing_city, CAST(NULL AS VARCHAR) AS landing_state,
+         CAST(NULL AS TIMESTAMP) AS estimated_arrival,
+         CASE WHEN event_id % 29 = 0 THEN 1 ELSE 0 END AS record_is_deleted, ts AS date_created
+  FROM {_EVENTS} WHERE event_type = 'signup')""",
+    "species_ref": f"""species_ref AS (
+  SELECT nespp3, 'S' || nespp3 AS speciescd,
+         CASE WHEN _type = 'PROMO' THEN 'SKATE ' || upper(_name) ELSE upper(_name) END AS spp_common_name,
+         CASE WHEN _size > 25 THEN 1 ELSE 0 END AS rsa_spp,
+         ({_PROGRAMS})[CAST(nespp3 AS INTEGER) % 4 + 1] AS rsa_program
+  FROM (SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3, max(p_type) AS _type,
+               max(p_name) AS _name, max(p_size) AS _size FROM part GROUP BY 1))""",
+    "species_itis": """species_itis AS (
+  SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3,
+         max(CAST(160000 + (p_partkey % 1000) * 7 AS VARCHAR)) AS itis FROM part GROUP BY 1)""",
+    "species_plan": """species_plan AS (
+  SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3, max(p_type) AS plan FROM part GROUP BY 1)""",
+    "plan_calendar": """plan_calendar(plan, calendar) AS (
+  VALUES ('STANDARD', 'JAN TO DEC'), ('ECONOMY', 'MAR TO FEB'), ('MEDIUM', 'MAY TO APR'),
+         ('SMALL', 'NOV TO OCT'), ('LARGE', 'JUN TO MAY'))""",
+    "species_code": """species_code AS (
+  SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || CAST(p_partkey % 10 AS VARCHAR) AS species_id,
+         max(lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0')) AS nespp3,
+         max(lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || CAST(p_partkey % 10 AS VARCHAR)) AS nespp4
+  FROM part GROUP BY 1)""",
+    "species_name": """species_name AS (
+  SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || CAST(p_partkey % 10 AS VARCHAR) AS nespp4,
+         max(upper(p_name)) AS common_name FROM part GROUP BY 1)""",
+    "vessel_name": f"""vessel_name AS (
+  SELECT {_PERMIT.format(c='c_custkey')} AS permit, max(c_name) AS vessel_name FROM customer GROUP BY 1)""",
+    "project": f"""project AS (
+  SELECT 'PC' || CAST(c_custkey % 40 AS VARCHAR) AS project_code, 'S' || CAST(c_custkey % 40 AS VARCHAR) AS project_number,
+         ({_PROGRAMS})[CAST(c_custkey % 40 % 4 AS INTEGER) + 1] AS program,
+         TIMESTAMP '1998-01-01' + to_days(CAST(c_custkey % 40 * 30 AS INTEGER)) AS valid_from,
+         TIMESTAMP '2000-06-01' + to_days(CAST(c_custkey % 40 * 30 AS INTEGER)) AS valid_to
+  FROM customer)""",
+    "project_dim": """project_dim AS (SELECT DISTINCT project_code, project_number, program, valid_from, valid_to FROM project)""",
+    "permit_category": f"""permit_category AS (
+  SELECT {_PERMIT.format(c='o.o_custkey')} AS permit, 'H' || CAST(o.o_custkey % 100 AS VARCHAR) AS hull,
+         CAST(160000 + (l.l_partkey % 1000) * 7 AS VARCHAR) AS itis,
+         o.o_orderdate AS valid_from, o.o_orderdate + INTERVAL 365 DAY AS valid_to,
+         substr(o.o_orderpriority, 1, 1) AS category, 'M' || CAST(l.l_linenumber AS VARCHAR) AS moratorium_code,
+         CASE WHEN l.l_linenumber % 2 = 0 THEN 'WEEKLY' ELSE 'MONTHLY' END AS report_frequency
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus = 'O')""",
+    "serial_doc": """serial_doc AS (
+  SELECT CAST(l_orderkey * 10 + l_linenumber + 10000000 AS VARCHAR) AS serial,
+         max(CAST(l_orderkey AS DECIMAL(38,0))) AS docid FROM lineitem GROUP BY 1)""",
+})
+
+
+def _fy_by_calendar(d: str, cal: str) -> str:
+    return f"""CAST(CASE {cal}
+         WHEN 'JAN TO DEC' THEN year({d})
+         WHEN 'MAR TO FEB' THEN CASE WHEN month({d}) >= 3 THEN year({d}) ELSE year({d}) - 1 END
+         WHEN 'MAY TO APR' THEN CASE WHEN month({d}) >= 5 THEN year({d}) ELSE year({d}) - 1 END
+         WHEN 'NOV TO OCT' THEN CASE WHEN month({d}) >= 11 THEN year({d}) ELSE year({d}) - 1 END END AS INTEGER)"""
+
+
+def _code_list(code: str, where: str) -> str:
+    return f"(SELECT string_agg(DISTINCT pc.{code}, ',' ORDER BY pc.{code}) FROM permit_category pc WHERE {where})"
+
+
+def _key(*parts: str) -> str:
+    return " || '-' || ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
+
+
+def _validity(day: str, vf: str, vt: str) -> str:
+    return (f"CASE WHEN ({vf} IS NOT NULL OR {vt} IS NOT NULL) AND {day} IS NOT NULL THEN "
+            f"CASE WHEN CAST({day} AS DATE) BETWEEN CAST({vf} AS DATE) AND CAST({vt} AS DATE) THEN 'Y' ELSE 'N' END END")
+
+
+def _serial_ok(s: str, allow_zero: bool) -> str:
+    ok = f"{s} IS NOT NULL AND regexp_matches({s}, '[0-9]') AND TRY_CAST(trim({s}) AS DECIMAL(38,0)) IS NOT NULL"
+    return ok if allow_zero else ok + f" AND TRY_CAST(trim({s}) AS DECIMAL(38,0)) <> 0"
+
+
 
 def _with(*names: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in names) + ",\n"
@@ -84,6 +181,89 @@ SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'AMS' AS
 FROM y
 """
 
+_CUT_720 = "TIMESTAMP '1999-08-12'"   # day(2001-08-01) - 720 days
+_AS_OF = "TIMESTAMP '2001-08-01'"
+_AGE = "CAST(epoch_us(" + _AS_OF + ") - epoch_us({c}) AS DOUBLE) / CAST(86400000000 AS DOUBLE)"
+_SKATE_CD = "(SELECT speciescd FROM species_ref WHERE spp_common_name LIKE 'SKATE%')"
+_SKATE_N3 = "(SELECT nespp3 FROM species_ref WHERE spp_common_name LIKE 'SKATE%')"
+_RSA_SPP = "(SELECT nespp3, 'Y' AS rsa_spp, max(rsa_program) AS program FROM species_ref WHERE rsa_spp = 1 GROUP BY 1)"
+_TARGET = "(SELECT DISTINCT nespp3, rsa_program AS program, 'Y' AS target FROM species_ref WHERE rsa_spp = 1)"
+
+FEED_VMS = _with("vms_end_hail", "vms_start_hail", "species_ref", "species_itis", "species_plan", "plan_calendar",
+                 "vessel_name", "project", "permit_category", "serial_doc") + f"""
+h AS (
+  SELECT e.*, sd.docid AS _docid, vn.vessel_name, hs.nespp3, si.itis, sp.plan AS fmm, pc.calendar AS fy_range,
+         rs.rsa_spp AS _rsa_spp,
+         CASE WHEN hs.nespp3 IS NOT NULL THEN coalesce(pt.target, 'N') END AS rsa_project_spp,
+         coalesce(e.species_code IN {_SKATE_CD}, false) AS skate
+  FROM vms_end_hail e
+  LEFT JOIN serial_doc sd ON sd.serial = trim(e.vtr_number)
+  LEFT JOIN vessel_name vn ON vn.permit = e.vessel_permit_number
+  LEFT JOIN (SELECT speciescd, max(nespp3) AS nespp3 FROM species_ref GROUP BY 1) hs ON hs.speciescd = e.species_code
+  LEFT JOIN species_itis si ON si.nespp3 = hs.nespp3
+  LEFT JOIN species_plan sp ON sp.nespp3 = hs.nespp3
+  LEFT JOIN plan_calendar pc ON pc.plan = sp.plan
+  LEFT JOIN {_RSA_SPP} rs ON rs.nespp3 = hs.nespp3
+  LEFT JOIN {_TARGET} pt ON pt.nespp3 = hs.nespp3 AND pt.program = e.rsa_program
+  WHERE e.estimated_offload >= {_CUT_720}),
+ends AS (
+  SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'VMS END HAIL' AS source_data,
+    coalesce(CAST(_docid AS VARCHAR), '0') || '-0-' || {_key('vessel_permit_number', 'nespp3')} AS docid_dnum_permit_spp_to_match,
+    _docid AS docid, message_id, form_type, rsa_efp_hail_id, time_sent, vessel_permit_number, vessel_name,
+    CAST(NULL AS VARCHAR) AS vessel_jurisdiction, hull_id, vtr_number, rsa_program, project_code, landing_city,
+    landing_state, estimated_arrival, estimated_offload, species_column, species_name, species_code, species_kept,
+    species_discard, herring_area, _rsa_spp AS rsa_spp, rsa_project_spp, nespp3, itis AS species_itis,
+    species_name AS spp_common_name, fy_range AS fishing_year_range, fmm,
+    {_fy_by_calendar('estimated_offload', 'fy_range')} AS fmp_year,
+    {_code_list('category', 'pc.permit = h.vessel_permit_number AND pc.hull = h.hull_id AND pc.itis = h.itis AND h.estimated_offload BETWEEN pc.valid_from AND pc.valid_to')} AS fmp_cat_code_list,
+    {_code_list('moratorium_code', 'pc.permit = h.vessel_permit_number AND pc.hull = h.hull_id AND pc.itis = h.itis AND h.estimated_offload BETWEEN pc.valid_from AND pc.valid_to')} AS fmp_mort_code_list,
+    {_code_list('report_frequency', 'pc.permit = h.vessel_permit_number AND pc.hull = h.hull_id AND pc.itis = h.itis AND h.estimated_offload BETWEEN pc.valid_from AND pc.valid_to')} AS vessel_rpt_freq_list,
+    CAST(NULL AS VARCHAR) AS fmp_mri_list, CAST(NULL AS VARCHAR) AS fmp_mri_list_wo_hull,
+    CAST(NULL AS VARCHAR) AS fishery_type, {_FY.format(c='estimated_offload')}, activity_code,
+    rsa_efp_hail_id AS source_level1_key_id, CAST(NULL AS DECIMAL(38,0)) AS source_level2_key_id,
+    CAST(NULL AS DECIMAL(38,0)) AS source_level3_key_id, {_AGE.format(c='time_sent')} AS trip_age_in_days,
+    upper(strftime(time_sent, '%d-%b-%y %H:%M:%S')) AS date_time_sent,
+    coalesce(CAST(_docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', 'nespp3')} AS docid_permit_spp_to_match,
+    coalesce(CAST(_docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', 'itis')} AS docid_permit_sppitis_to_match,
+    coalesce(vtr_number, '0') || '-' || {_key('vessel_permit_number', 'nespp3')} AS vtr_permit_spp_to_match,
+    coalesce(vtr_number, '0') || '-' || {_key('vessel_permit_number', 'itis')} AS vtr_permit_sppitis_to_match,
+    coalesce(CAST(_docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', "CASE WHEN skate THEN '564' ELSE substr(itis, 1, 3) END")} AS docid_permit_sppitis3_to_match,
+    coalesce(vtr_number, '0') || '-' || {_key('vessel_permit_number', "CASE WHEN skate THEN '564' ELSE substr(itis, 1, 3) END")} AS vtr_permit_sppitis3_to_match,
+    CASE WHEN _docid IS NOT NULL THEN _docid WHEN {_serial_ok('vtr_number', False)} THEN TRY_CAST(trim(vtr_number) AS DECIMAL(38,0))
+         ELSE rsa_efp_hail_id END AS rtl_trip_id,
+    CASE WHEN _docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('vtr_number', False)} THEN 'VTRSERNO'
+         ELSE 'RSA_EFP_HAIL_ID' END AS rtl_trip_id_source,
+    coalesce(vtr_number IS NOT NULL AND regexp_matches(vtr_number, '[0-9]') AND TRY_CAST(trim(vtr_number) AS DECIMAL(38,0)) IS NULL, false) AS _dirty
+  FROM h),
+st AS (
+  SELECT s.*, sd.docid AS _docid, vn.vessel_name, pj.program AS _program
+  FROM vms_start_hail s
+  LEFT JOIN serial_doc sd ON sd.serial = trim(s.vtr_number)
+  LEFT JOIN vessel_name vn ON vn.permit = s.vessel_permit_number
+  LEFT JOIN (SELECT DISTINCT project_code, program FROM project) pj ON pj.project_code = s.project_code
+  WHERE s.record_is_deleted = 0 AND s.date_created >= {_CUT_720}),
+starts AS (
+  SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'VMS_START' AS source_data,
+    coalesce(CAST(_docid AS VARCHAR), '0') || '-0-' || coalesce(vessel_permit_number, '') || '-' AS docid_dnum_permit_spp_to_match,
+    _docid AS docid, message_id, 'SAIL' AS form_type, rsa_efp_start_hail_id AS rsa_efp_hail_id, time_sent,
+    vessel_permit_number, vessel_name, hull_id, vtr_number, _program AS rsa_program, project_code, landing_city,
+    landing_state, estimated_arrival, rsa_efp_start_hail_id AS source_level1_key_id,
+    {_AGE.format(c='time_sent')} AS trip_age_in_days, upper(strftime(time_sent, '%d-%b-%y %H:%M:%S')) AS date_time_sent,
+    CASE WHEN _docid IS NOT NULL THEN _docid WHEN {_serial_ok('vtr_number', False)} THEN TRY_CAST(trim(vtr_number) AS DECIMAL(38,0))
+         ELSE rsa_efp_start_hail_id END AS rtl_trip_id,
+    CASE WHEN _docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('vtr_number', False)} THEN 'VTRSERNO'
+         ELSE 'RSA_EFP_START_HAIL_ID' END AS rtl_trip_id_source,
+    coalesce(vtr_number IS NOT NULL AND regexp_matches(vtr_number, '[0-9]') AND TRY_CAST(trim(vtr_number) AS DECIMAL(38,0)) IS NULL, false) AS _dirty
+  FROM st),
+u AS (SELECT * FROM ends UNION ALL BY NAME SELECT * FROM starts)
+SELECT u.* EXCLUDE (_dirty), {_validity('u.time_sent', 'p2.valid_from', 'p2.valid_to')} AS project_status_valid
+FROM u
+LEFT JOIN (SELECT DISTINCT project_code, project_number FROM project) p1 ON p1.project_code = u.project_code
+LEFT JOIN (SELECT DISTINCT project_number, valid_from, valid_to FROM project) p2 ON p2.project_number = p1.project_number
+WHERE NOT u._dirty
+"""
+
 FEED_SQL = {
     "feed_ams": FEED_AMS,
+    "feed_vms": FEED_VMS,
 }
