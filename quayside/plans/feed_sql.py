@@ -116,6 +116,34 @@ CTE.update({
          max(CAST(l_orderkey AS DECIMAL(38,0))) AS docid FROM lineitem GROUP BY 1)""",
 })
 
+_FYB = """CAST(year(l_shipdate) AS INTEGER) AS fy_jan_dec,
+         CAST(CASE WHEN month(l_shipdate) >= 3 THEN year(l_shipdate) ELSE year(l_shipdate) - 1 END AS INTEGER) AS fy_mar_feb,
+         CAST(CASE WHEN month(l_shipdate) >= 5 THEN year(l_shipdate) ELSE year(l_shipdate) - 1 END AS INTEGER) AS fy_may_apr,
+         CAST(CASE WHEN month(l_shipdate) >= 11 THEN year(l_shipdate) ELSE year(l_shipdate) - 1 END AS INTEGER) AS fy_nov_oct"""
+_LINE_ID = ("CAST(CAST(l_orderkey AS DECIMAL(38,0)) * CAST(1e21 AS DECIMAL(38,0)) + CAST(l_linenumber AS DECIMAL(38,0)) * CAST(1e20 AS DECIMAL(38,0))"
+            " + CAST(l_partkey AS DECIMAL(38,0)) * CAST(1e10 AS DECIMAL(38,0)) + CAST(l_suppkey AS DECIMAL(38,0)) AS DECIMAL(38,0))")
+_NESPP3_L = "lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0')"
+
+CTE.update({
+    "ivr_report": """ivr_report AS (
+  SELECT CAST(o_orderkey * 10 + 1 AS DECIMAL(38,0)) AS rsa_trip_reportid, CAST(o_orderkey AS DECIMAL(38,0)) AS rsa_tripid,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'LEGACY' WHEN o_orderkey % 19 = 0 THEN NULL ELSE 'PRELAND' END AS report_type,
+         CAST(NULL AS VARCHAR) AS preland_confirmnbr, CAST(NULL AS TIMESTAMP) AS date_estimated_landing_preland
+  FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM') AND o_orderkey % 23 <> 0)""",
+    "ivr_landing": f"""ivr_landing AS (
+  SELECT {_LINE_ID} AS rsa_trip_landingid, CAST(l_orderkey * 10 + 1 AS DECIMAL(38,0)) AS rsa_trip_reportid,
+         {_NESPP3_L} AS nespp3, 'S' || {_NESPP3_L} AS speciesid,
+         CAST(l_quantity AS DECIMAL(18,2)) AS rsa_trip_landing_lbs,
+         {_FYB}, l_shipdate AS date_created
+  FROM lineitem)""",
+    "research_code": f"""research_code AS (
+  SELECT {_PERMIT.format(c='c.c_custkey')} AS permit, 'STATE' AS state_fed
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_regionkey = 1
+  UNION ALL
+  SELECT {_PERMIT.format(c='c.c_custkey')} AS permit, 'FED' AS state_fed
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_regionkey IN (1, 2))""",
+})
+
 
 def _fy_by_calendar(d: str, cal: str) -> str:
     return f"""CAST(CASE {cal}
@@ -263,7 +291,87 @@ LEFT JOIN (SELECT DISTINCT project_number, valid_from, valid_to FROM project) p2
 WHERE NOT u._dirty
 """
 
+_CODE_WHERE_IVR = "pc.permit = t.vessel_permit_number AND pc.itis = t.species_itis AND t.date_created BETWEEN pc.valid_from AND pc.valid_to"
+_I3 = "CASE WHEN skate THEN '564' ELSE substr(species_itis, 1, 3) END"
+
+FEED_IVR = _with("ivr_trip", "ivr_report", "ivr_landing", "species_ref", "species_itis", "species_plan",
+                 "plan_calendar", "vessel_name", "project", "permit_category", "serial_doc", "research_code") + f"""
+j AS (
+  SELECT a.*, b.rsa_trip_reportid, b.report_type, b.preland_confirmnbr, b.date_estimated_landing_preland,
+         c.rsa_trip_landingid, c.nespp3, c.speciesid, c.rsa_trip_landing_lbs, c.fy_jan_dec, c.fy_mar_feb,
+         c.fy_may_apr, c.fy_nov_oct, c.date_created
+  FROM ivr_trip a
+  LEFT JOIN ivr_report b ON a.rsa_tripid = b.rsa_tripid
+  LEFT JOIN ivr_landing c ON b.rsa_trip_reportid = c.rsa_trip_reportid
+  WHERE a.rsa_trip_de >= {_CUT_720} AND b.report_type <> 'LEGACY'),
+t AS (
+  SELECT j.*, sd.docid, vn.vessel_name,
+    CASE WHEN j.vessel_permit_number IN (SELECT DISTINCT permit FROM research_code WHERE state_fed = 'STATE') THEN 'STATE'
+         WHEN j.vessel_permit_number IN (SELECT DISTINCT permit FROM research_code WHERE state_fed = 'FED') THEN 'FEDERAL'
+    END AS vessel_jurisdiction,
+    si.itis AS species_itis, sp.plan AS fmm, pc.calendar AS fy_range,
+    coalesce(j.speciesid IN {_SKATE_CD}, false) AS skate,
+    pv.valid_from AS pv_from, pv.valid_to AS pv_to,
+    CASE WHEN LAG(j.vessel_permit_number, 1) OVER w = j.vessel_permit_number
+         THEN LAG(j.rsa_ivr_project_id, 1) OVER w END AS previous_rsa_ivr_project_id
+  FROM j
+  LEFT JOIN serial_doc sd ON sd.serial = trim(j.rsa_vtrnbr)
+  LEFT JOIN vessel_name vn ON vn.permit = j.vessel_permit_number
+  LEFT JOIN species_itis si ON si.nespp3 = j.nespp3
+  LEFT JOIN species_plan sp ON sp.nespp3 = j.nespp3
+  LEFT JOIN plan_calendar pc ON pc.plan = sp.plan
+  LEFT JOIN (SELECT DISTINCT project_number, valid_from, valid_to FROM project) pv ON pv.project_number = j.rsa_sfd_project_id
+  WINDOW w AS (ORDER BY j.vessel_permit_number ASC NULLS LAST, j.rsa_trip_landingid ASC NULLS LAST,
+               j.rsa_tripid ASC, j.rsa_trip_reportid ASC))
+SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'IVR' AS source_data,
+  coalesce(CAST(docid AS VARCHAR), '0') || '-0-' || {_key('vessel_permit_number', 'nespp3')} AS docid_dnum_permit_spp_to_match,
+  docid, rsa_tripid, rsa_trip_landingid, rsa_trip_status, rsa_trip_de, CAST(NULL AS VARCHAR) AS rsa_trip_confirmnbr, CAST(NULL AS TIMESTAMP) AS rsa_trip_dc,
+  CAST(NULL AS VARCHAR) AS rsa_trip_close_confirmnbr, CAST(NULL AS VARCHAR) AS rsa_trip_monkfsh_ovrgflg,
+  CAST(NULL AS VARCHAR) AS rsa_trip_uc, CAST(NULL AS TIMESTAMP) AS rsa_trip_du,
+  CAST(NULL AS DECIMAL(38,0)) AS permit_projectid, rsa_vtrnbr, CAST(NULL AS DECIMAL(38,0)) AS gear_typeid,
+  CAST(NULL AS DECIMAL(38,0)) AS broadstock_areaid, CAST(NULL AS VARCHAR) AS sector_vessel_flag,
+  vessel_permit_number, vessel_name, vessel_jurisdiction, rsa_program, rsa_ivr_project_id, rsa_sfd_project_id,
+  CAST(NULL AS VARCHAR) AS rsa_sfd_project_title, rsa_trip_reportid, report_type, preland_confirmnbr,
+  CAST(NULL AS TIMESTAMP) AS date_estimate_of_landing, CAST(NULL AS DECIMAL(38,0)) AS anticipated_portid,
+  CAST(NULL AS DECIMAL(38,0)) AS stateid, CAST(NULL AS VARCHAR) AS state,
+  CAST(NULL AS DECIMAL(38,0)) AS rsa_fishing_areaid, CAST(NULL AS VARCHAR) AS preland, speciesid,
+  CAST(NULL AS VARCHAR) AS rsa_spp, CAST(NULL AS VARCHAR) AS rsa_project_spp, nespp3,
+  CAST(NULL AS VARCHAR) AS spp_common_name, rsa_trip_landing_lbs, date_rsa_trip_ended AS rsa_trip_landing_de,
+  fy_range AS fishing_year_range, {_fy_by_calendar('date_rsa_trip_ended', 'fy_range')} AS fmp_year, fmm,
+  {_code_list('category', _CODE_WHERE_IVR)} AS fmp_cat_code_list,
+  CAST(NULL AS VARCHAR) AS fmp_mort_code_list, CAST(NULL AS VARCHAR) AS vessel_rpt_freq_list,
+  CAST(NULL AS VARCHAR) AS fmp_mri_list, CAST(NULL AS VARCHAR) AS fmp_mri_list_wo_hull,
+  CAST(NULL AS VARCHAR) AS fishery_type, CAST(NULL AS DECIMAL(18,2)) AS rsa_trip_landing_loligolbs,
+  CAST(NULL AS DECIMAL(18,2)) AS rsa_trip_landing_totallbs, fy_jan_dec, fy_mar_feb, fy_may_apr, fy_nov_oct,
+  CAST(NULL AS VARCHAR) AS rsa_trip_landing_uc, CAST(NULL AS TIMESTAMP) AS rsa_trip_landing_dc,
+  date_rsa_trip_started, date_rsa_trip_ended,
+  {_validity('coalesce(date_rsa_trip_ended, date_rsa_trip_started)', 'pv_from', 'pv_to')} AS project_status_valid,
+  previous_rsa_ivr_project_id, CAST(NULL AS DECIMAL(38,0)) AS portid,
+  date_estimated_landing_preland AS date_estimate_landing_preland,
+  CAST(NULL AS TIMESTAMP) AS date_estimate_landing_pretrip,
+  rsa_tripid AS source_level1_key_id, rsa_trip_reportid AS source_level2_key_id,
+  rsa_trip_landingid AS source_level3_key_id, {_AGE.format(c='date_rsa_trip_started')} AS trip_age_in_days,
+  upper(strftime(date_rsa_trip_started, '%d-%b-%y %H:%M:%S')) AS date_time_rsa_trip_started,
+  upper(strftime(date_rsa_trip_ended, '%d-%b-%y %H:%M:%S')) AS date_time_rsa_trip_ended,
+  coalesce(CAST(docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', 'nespp3')} AS docid_permit_spp_to_match,
+  coalesce(CAST(docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', 'species_itis')} AS docid_permit_sppitis_to_match,
+  coalesce(rsa_vtrnbr, '0') || '-' || {_key('vessel_permit_number', 'nespp3')} AS vtr_permit_spp_to_match,
+  coalesce(rsa_vtrnbr, '0') || '-' || {_key('vessel_permit_number', 'species_itis')} AS vtr_permit_sppitis_to_match,
+  coalesce(CAST(docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', _I3)} AS docid_permit_sppitis3_to_match,
+  coalesce(rsa_vtrnbr, '0') || '-' || {_key('vessel_permit_number', _I3)} AS vtr_permit_sppitis3_to_match,
+  CASE WHEN docid IS NOT NULL THEN docid WHEN {_serial_ok('rsa_vtrnbr', False)} THEN TRY_CAST(trim(rsa_vtrnbr) AS DECIMAL(38,0))
+       ELSE rsa_tripid END AS rtl_trip_id,
+  CASE WHEN docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('rsa_vtrnbr', False)} THEN 'VTRSERNO'
+       ELSE 'RSA_TRIPID' END AS rtl_trip_id_source,
+  species_itis
+FROM t
+WHERE NOT coalesce(vessel_permit_number IN ('111111', '555555', '888888'), false)
+  AND NOT coalesce(rsa_vtrnbr IS NOT NULL AND regexp_matches(rsa_vtrnbr, '[0-9]')
+                   AND TRY_CAST(trim(rsa_vtrnbr) AS DECIMAL(38,0)) IS NULL, false)
+"""
+
 FEED_SQL = {
     "feed_ams": FEED_AMS,
     "feed_vms": FEED_VMS,
+    "feed_ivr": FEED_IVR,
 }
