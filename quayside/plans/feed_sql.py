@@ -370,8 +370,164 @@ WHERE NOT coalesce(vessel_permit_number IN ('111111', '555555', '888888'), false
                    AND TRY_CAST(trim(rsa_vtrnbr) AS DECIMAL(38,0)) IS NULL, false)
 """
 
+
+def _sql_type(t: str) -> str:
+    return {"string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP", "bigint": "BIGINT"}.get(t, t.upper())
+
+
+def _declared(ddl_text: str) -> list[tuple[str, str]]:
+    out = []
+    for field in ddl_text.replace("decimal(38,0)", "decimal(38;0)").replace("decimal(18,2)", "decimal(18;2)") \
+            .replace("decimal(18,6)", "decimal(18;6)").split(","):
+        name, typ = field.split()
+        out.append((name, _sql_type(typ.replace(";", ","))))
+    return out
+
+
+def _conformed(table: str, exprs: dict, source: str) -> str:
+    """``table AS (SELECT <declared columns, typed; missing ones NULL> FROM source)``."""
+    from quayside.sources.schemas import DIMENSIONS, SOURCES
+    ddl = SOURCES.get(table) or DIMENSIONS[table]
+    cols = [f"CAST({exprs[n]} AS {t}) AS {n}" if n in exprs else f"CAST(NULL AS {t}) AS {n}" for n, t in _declared(ddl)]
+    return f"{table} AS (\n  SELECT " + ",\n         ".join(cols) + f"\n  {source})"
+
+
+_SERIAL_L = "CAST(l_orderkey * 10 + l_linenumber + 10000000 AS VARCHAR)"
+_DEALER_NUM = "CASE WHEN l_suppkey = 0 THEN NULL WHEN l_suppkey = 99 THEN 99998 ELSE l_suppkey END"
+_NESPP4_L = "lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || CAST(l_partkey % 10 AS VARCHAR)"
+
+CTE.update({
+    "dealer_landing": _conformed("dealer_landing", {
+        "docid": "CASE WHEN l_orderkey % 3 <> 1 THEN l_orderkey END", "year": "year(l_shipdate)",
+        "dealnum": "l_suppkey", "permit": _PERMIT.format(c="o_custkey"),
+        "hullnum": "'H' || CAST(o_custkey % 100 AS VARCHAR)", "nespp4": _NESPP4_L, "nespp3": _NESPP3_L,
+        "spplndlb": "l_quantity", "sppvalue": "l_extendedprice",
+        "vtrserno": f"CASE WHEN l_linenumber = 1 THEN '0' WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN 'ABC' "
+                    f"WHEN l_linenumber = 6 AND l_orderkey % 101 = 0 THEN '12A4' ELSE {_SERIAL_L} END",
+        "species_itis": "lpad(CAST(l_partkey AS VARCHAR), 8, '0')",
+        "dealer_rpt_id": "l_orderkey + 12345678901234", "landing_seq": _LINE_ID, "ddate": "l_shipdate",
+    }, "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+    "landing_source": _conformed("landing_source", {
+        "landing_seq": _LINE_ID, "catch_source": "CASE WHEN l_returnflag = 'R' THEN 'R' ELSE 'D' END"},
+        "FROM lineitem"),
+    "images": _conformed("images", {
+        "imgid": "l_orderkey * 10 + l_linenumber", "docid": "l_orderkey", "serial_num": _SERIAL_L,
+        "area": "CAST(_s % 25 + 500 AS VARCHAR)", "gearcode": "'G' || CAST(_s % 9 AS VARCHAR)", "depth": "_q"},
+        "FROM (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS _s, min(l_quantity) AS _q FROM lineitem GROUP BY 1, 2)"),
+    "catch": _conformed("catch", {
+        "catch_id": _LINE_ID, "imgid": "l_orderkey * 10 + l_linenumber",
+        "species_id": f"CASE WHEN l_linenumber = 7 AND l_suppkey % 2 = 0 THEN 'NC' ELSE {_NESPP4_L} END",
+        "kept": "l_quantity", "discarded": "l_discount * 10", "dealer_num": _DEALER_NUM, "date_sold": "l_shipdate"},
+        "FROM lineitem"),
+    "document_full": _conformed("document", {
+        "docid": "o_orderkey", "vessel_id": "CASE WHEN o_custkey % 97 <> 0 THEN o_custkey END",
+        "date_sail": "o_orderdate - INTERVAL 1 DAY", "date_land": "o_orderdate + INTERVAL 6 DAY",
+        "tripcatg": "o_orderkey % 4 + 1", "crew": "o_orderkey % 7", "port1": "'PORT' || CAST(o_custkey % 30 AS VARCHAR)",
+        "vessel_permit_num": _PERMIT.format(c="o_custkey"), "trip_activity_type": "o_orderkey % 9"},
+        "FROM orders WHERE o_orderstatus = 'F'").replace("document AS (", "document_full AS (", 1),
+    "stock_area": """stock_area AS (
+  SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3, CAST(p_size % 25 + 500 AS VARCHAR) AS area,
+         max('STK' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || '-' || CAST(p_size % 25 + 500 AS VARCHAR)) AS stock_id
+  FROM part GROUP BY 1, 2)""",
+    "conversion": """conversion AS (
+  SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || CAST(p_partkey % 10 AS VARCHAR) AS species_id,
+         CAST(p_partkey % 100 AS DECIMAL(38,0)) AS dealer_num,
+         max(CAST(1 + p_size / 100 AS DECIMAL(18,6))) AS factor
+  FROM part GROUP BY 1, 2)""",
+    "dealer_year": """dealer_year AS (
+  SELECT CAST(s_suppkey AS DECIMAL(38,0)) AS dealer_num, CAST(1995 + s_suppkey % 7 AS INTEGER) AS year,
+         max(s_name) AS dealer_name FROM supplier GROUP BY 1, 2)""",
+})
+
+
+def _upstream_ctes() -> str:
+    """AMS, IVR and VMS outputs as nested statements, plus the trip sets and
+    the reported-project lookup the dealer and vessel feeds read."""
+    return f"""ams_out AS ({FEED_AMS}),
+ivr_out AS ({FEED_IVR}),
+vms_out AS ({FEED_VMS}),
+docids AS (SELECT docid FROM ams_out UNION SELECT docid FROM document WHERE tripcatg = 4
+           UNION SELECT docid FROM ivr_out UNION SELECT docid FROM vms_out),
+serials AS (SELECT rsa_vtrnbr AS serial FROM ivr_out UNION SELECT vtr_number FROM vms_out),
+reported AS (
+  SELECT docid, rsa_vtrnbr AS serial, nespp3, max(rsa_ivr_project_id) AS ivr_project,
+         max(rsa_sfd_project_id) AS sfd_project
+  FROM ivr_out
+  WHERE docid IS NOT NULL AND rsa_vtrnbr IS NOT NULL AND nespp3 IS NOT NULL
+    AND (rsa_ivr_project_id IS NOT NULL OR rsa_sfd_project_id IS NOT NULL)
+  GROUP BY 1, 2, 3),
+"""
+
+_CUT_730 = "TIMESTAMP '1999-08-02'"   # day(2001-08-01) - 730 days
+_DEALER_PASS = """docid year drid_landseq_src port state port_name port_state port2 county link month docn day dealnum
+    dealer_name vessel_name permit hullnum nespp4 nespp3 spplndlb spplivlb sppvalue vtrserno reported_quantity
+    disposition_code disposition_desc species_itis uom grade_code market_code gear_code dersource cf_license
+    partner_id partner_code partner_affiliation state_dnum negear_vtr dealer_rpt_id landing_seq doe entry_date ddate
+    spp_common_name grade_desc market_desc landing_date_safis""".split()
+_I3_NZ = "CASE WHEN skate THEN '564' ELSE substr(itis_nz, 1, 3) END"
+
+
+def _dealer_sql() -> str:
+    pass_cols = ", ".join(f"e.{c}" for c in _DEALER_PASS)
+    cat = _code_list("category", "pc.permit = e.permit AND pc.itis = e.itis_nz AND e.land BETWEEN pc.valid_from AND pc.valid_to")
+    mort = _code_list("moratorium_code", "pc.permit = e.permit AND pc.hull = e.hullnum AND pc.itis = e.itis_nz "
+                                         "AND e.land BETWEEN pc.valid_from AND pc.valid_to")
+    return _with("dealer_landing", "landing_source", "document", "ams_trip", "ivr_trip", "ivr_report", "ivr_landing",
+                 "vms_end_hail", "vms_start_hail", "species_ref", "species_itis", "species_plan", "plan_calendar",
+                 "vessel_name", "project", "permit_category", "serial_doc", "research_code") + _upstream_ctes() + f"""
+q AS (
+  SELECT dl.*, ls.catch_source
+  FROM dealer_landing dl LEFT JOIN landing_source ls ON ls.landing_seq = dl.landing_seq
+  WHERE (dl.docid IN (SELECT DISTINCT docid FROM docids) AND dl.ddate >= {_CUT_730})
+     OR (dl.vtrserno IN (SELECT DISTINCT serial FROM serials) AND dl.ddate >= {_CUT_730})
+     OR (ls.catch_source = 'R' AND dl.ddate >= {_CUT_730})),
+e AS (
+  SELECT q.*, rs.rsa_spp AS _rsa_spp, rs.program AS _rsa_program,
+         CASE WHEN q.nespp3 IS NOT NULL THEN coalesce(pt.target, 'N') END AS _target,
+         sp.plan AS fmm, pc.calendar AS fy_range, coalesce(q.nespp3 IN {_SKATE_N3}, false) AS skate,
+         coalesce(dd.date_land, q.ddate) AS land, nullif(ltrim(q.species_itis, '0'), '') AS itis_nz
+  FROM q
+  LEFT JOIN {_RSA_SPP} rs ON rs.nespp3 = q.nespp3
+  LEFT JOIN {_TARGET} pt ON pt.nespp3 = q.nespp3 AND pt.program = rs.program
+  LEFT JOIN species_plan sp ON sp.nespp3 = q.nespp3
+  LEFT JOIN plan_calendar pc ON pc.plan = sp.plan
+  LEFT JOIN (SELECT docid, max(date_land) AS date_land FROM document GROUP BY 1) dd ON dd.docid = q.docid)
+SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'DEALER' AS source_data,
+  coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || coalesce(CAST(e.dealnum AS VARCHAR), '0') || '-' ||
+    {_key('e.permit', 'e.nespp3')} AS docid_dnum_permit_spp_to_match,
+  {pass_cols},
+  coalesce(e._rsa_spp, 'N') AS rsa_spp, e._target AS rsa_program_spp, coalesce(e._rsa_program, 'UNKNOWN') AS rsa_program,
+  e.fy_range AS fishing_year_range, e.fmm, {cat} AS fmp_cat_code_list, {mort} AS fmp_mort_code_list,
+  CAST(NULL AS VARCHAR) AS vessel_rpt_freq_list, CAST(NULL AS VARCHAR) AS fmp_mri_list,
+  CAST(NULL AS VARCHAR) AS fmp_mri_list_wo_hull, CAST(NULL AS VARCHAR) AS fishery_type,
+  {_fy_by_calendar('e.land', 'e.fy_range')} AS fmp_year, {_FY.format(c='e.ddate')}, e.catch_source,
+  e.dealer_rpt_id AS source_level1_key_id, e.landing_seq AS source_level2_key_id,
+  CAST(NULL AS DECIMAL(38,0)) AS source_level3_key_id,
+  coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || {_key('e.permit', 'e.nespp3')} AS docid_permit_spp_to_match,
+  coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || {_key('e.permit', 'e.itis_nz')} AS docid_permit_sppitis_to_match,
+  coalesce(e.vtrserno, '0') || '-' || {_key('e.permit', 'e.nespp3')} AS vtr_permit_spp_to_match,
+  coalesce(e.vtrserno, '0') || '-' || {_key('e.permit', 'e.itis_nz')} AS vtr_permit_sppitis_to_match,
+  coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || {_key('e.permit', _I3_NZ)} AS docid_permit_sppitis3_to_match,
+  coalesce(e.vtrserno, '0') || '-' || {_key('e.permit', _I3_NZ)} AS vtr_permit_sppitis3_to_match,
+  CASE WHEN e.docid IS NOT NULL THEN e.docid
+       WHEN {_serial_ok('e.vtrserno', True)} THEN TRY_CAST(trim(e.vtrserno) AS DECIMAL(38,0))
+       ELSE TRY_CAST(CAST(e.dealer_rpt_id AS VARCHAR) || e.permit AS DECIMAL(38,0)) END AS rtl_trip_id,
+  CASE WHEN e.docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('e.vtrserno', True)} THEN 'VTRSERNO'
+       ELSE 'DEALER_RPT_ID-PERMIT' END AS rtl_trip_id_source,
+  CASE WHEN e.vtrserno IS NOT NULL THEN r.ivr_project END AS rsa_ivr_project_id,
+  CASE WHEN e.vtrserno IS NOT NULL THEN r.sfd_project END AS rsa_sfd_project_id
+FROM e
+LEFT JOIN reported r ON r.docid = e.docid AND r.serial = e.vtrserno AND r.nespp3 = e.nespp3
+WHERE NOT coalesce(e.vtrserno IS NOT NULL AND regexp_matches(e.vtrserno, '[0-9]')
+                   AND TRY_CAST(trim(e.vtrserno) AS DECIMAL(38,0)) IS NULL, false)
+"""
+
+
+FEED_DEALER = _dealer_sql()
+
 FEED_SQL = {
     "feed_ams": FEED_AMS,
     "feed_vms": FEED_VMS,
     "feed_ivr": FEED_IVR,
+    "feed_dealer": FEED_DEALER,
 }
