@@ -525,9 +525,95 @@ WHERE NOT coalesce(e.vtrserno IS NOT NULL AND regexp_matches(e.vtrserno, '[0-9]'
 
 FEED_DEALER = _dealer_sql()
 
+_DOC_COLS = """docid vessel_id date_sail date_land tripcatg crew nanglers port1 port2 port3 state1 state2 state3
+    datelnd2 datelnd3 operator_num operator_name date_signed fished vessel_permit_num origin trip_activity_type""".split()
+_IMG_COLS = """imgid date_received serial_num gearcode gearqty gearsize area depth lat_degree lat_minute lat_second
+    lat_dir lon_degree lon_minute lon_second lon_dir ntows towhrs towmin mesh""".split()
+_CATCH_COLS = """catch_id species_id kept discarded dealer_num date_sold port_landed state_landed port_number""".split()
+_STOCK_SPECIES = "('081', '120', '122', '123', '124', '125', '147', '153', '159', '240', '250', '269', '512')"
+_NON_DEALER = "(1, 2, 4, 5, 7, 8, 99998)"
+
+
+def _vessel_sql() -> str:
+    doc = ", ".join(f"d.{c}" for c in _DOC_COLS)
+    img = ", ".join(f"i.{c}" for c in _IMG_COLS)
+    cat = ", ".join(f"c.{c}" for c in _CATCH_COLS)
+    code = _code_list("category", "pc.permit = e.vessel_permit_num AND pc.itis = e._itis "
+                                  "AND e.date_land BETWEEN pc.valid_from AND pc.valid_to")
+    i3 = "CASE WHEN e.skate THEN '564' ELSE substr(e._itis, 1, 3) END"
+    return _with("document", "document_full", "images", "catch", "ams_trip", "ivr_trip", "ivr_report", "ivr_landing",
+                 "vms_end_hail", "vms_start_hail", "species_ref", "species_itis", "species_plan", "plan_calendar",
+                 "species_code", "species_name", "vessel_name", "project", "permit_category", "serial_doc",
+                 "research_code", "stock_area", "conversion", "dealer_year") + _upstream_ctes() + f"""
+t AS (
+  SELECT {doc}, {img}, {cat}
+  FROM document_full d, images i, catch c
+  WHERE d.vessel_id IS NOT NULL AND d.docid = i.docid AND i.imgid = c.imgid
+    AND d.docid IN (SELECT DISTINCT docid FROM docids) AND d.date_land >= {_CUT_730}),
+e AS (
+  SELECT t.*, sc.nespp3, sc.nespp4, sn.common_name AS spp_common_name, si.itis AS _itis, sp.plan AS fmm,
+         pc.calendar AS fy_range, rs.rsa_spp AS _rsa_spp, rs.program AS _rsa_program,
+         CASE WHEN sc.nespp3 IS NOT NULL THEN coalesce(pt.target, 'N') END AS _target,
+         coalesce(sc.nespp3 IN {_SKATE_N3}, false) AS skate, vn.vessel_name, sa.stock_id AS _stock,
+         cv.factor AS _factor, dy.dealer_name AS _dealer
+  FROM t
+  LEFT JOIN species_code sc ON sc.species_id = t.species_id
+  LEFT JOIN species_name sn ON sn.nespp4 = sc.nespp4
+  LEFT JOIN species_itis si ON si.nespp3 = sc.nespp3
+  LEFT JOIN species_plan sp ON sp.nespp3 = sc.nespp3
+  LEFT JOIN plan_calendar pc ON pc.plan = sp.plan
+  LEFT JOIN {_RSA_SPP} rs ON rs.nespp3 = sc.nespp3
+  LEFT JOIN {_TARGET} pt ON pt.nespp3 = sc.nespp3 AND pt.program = rs.program
+  LEFT JOIN vessel_name vn ON vn.permit = t.vessel_permit_num
+  LEFT JOIN stock_area sa ON sa.nespp3 = sc.nespp3 AND sa.area = t.area
+  LEFT JOIN conversion cv ON cv.species_id = t.species_id AND cv.dealer_num = t.dealer_num
+  LEFT JOIN dealer_year dy ON dy.dealer_num = t.dealer_num AND dy.year = year(t.date_sold))
+SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'VESSEL' AS source_data,
+  {_key('e.docid', "coalesce(CAST(e.dealer_num AS VARCHAR), '0')", 'e.vessel_permit_num', 'e.nespp3')} AS docid_dnum_permit_spp_to_match,
+  {", ".join("e." + c for c in _DOC_COLS)},
+  CASE e.tripcatg WHEN 1 THEN 'COMMERCIAL' WHEN 2 THEN 'PARTY' WHEN 3 THEN 'CHARTER' WHEN 4 THEN 'RSA' END AS tripcatg_desc,
+  e.vessel_name,
+  CASE e.trip_activity_type WHEN 0 THEN 'EFFORT FISHING TRIP' WHEN 1 THEN 'SET ONLY TRIP' WHEN 2 THEN 'MECHANICAL BREAKDOWN'
+       WHEN 3 THEN 'TURNAROUND DUE TO WEATHER' WHEN 4 THEN 'TRANSITING TRIP' WHEN 5 THEN 'HERRING CARRIER VESSEL'
+       WHEN 6 THEN 'TURNAROUND ILLNESS/INJURY' WHEN 7 THEN 'OTHER' END AS trip_activity_type_desc,
+  {_FY.format(c='e.date_land')},
+  {", ".join("e." + c for c in _IMG_COLS)}, {", ".join("e." + c for c in _CATCH_COLS)}, e.spp_common_name,
+  coalesce(e._rsa_spp, 'N') AS rsa_spp, e._target AS rsa_project_spp, e._rsa_program AS rsa_program, e.nespp3,
+  CASE WHEN e.nespp3 IN {_STOCK_SPECIES} THEN e._stock ELSE 'NA' END AS stock_id,
+  e.kept AS landed_pounds, e.kept * e._factor AS live_pounds, e.fy_range AS fishing_year_range,
+  {_fy_by_calendar('e.date_land', 'e.fy_range')} AS fmp_year, e.fmm, {code} AS fmp_cat_code_list,
+  CAST(NULL AS VARCHAR) AS fmp_mort_code_list, CAST(NULL AS VARCHAR) AS vessel_rpt_freq_list,
+  CAST(NULL AS VARCHAR) AS fmp_mri_list, CAST(NULL AS VARCHAR) AS fmp_mri_list_wo_hull,
+  CAST(NULL AS VARCHAR) AS fishery_type,
+  CASE WHEN e.dealer_num IN {_NON_DEALER} THEN 'NON-DEALER' ELSE 'DEALER' END AS dealer_type,
+  CASE WHEN e.species_id = 'NC' AND e.dealer_num IS NULL THEN 'NO CATCH REPORTED'
+       WHEN e.dealer_num = 1 THEN 'SEIZED' WHEN e.dealer_num = 2 THEN 'BAIT' WHEN e.dealer_num = 3 THEN '?'
+       WHEN e.dealer_num = 4 THEN 'RETAINED FOR FUTURE SALE' WHEN e.dealer_num = 5 THEN 'SOLD TO NON-FEDERAL DEALER'
+       WHEN e.dealer_num = 7 THEN 'LANDED FOR RESEARCH' WHEN e.dealer_num = 8 THEN 'LUMF, LEGAL SIZE UNMARKETABLE FISH'
+       WHEN e.dealer_num = 99998 THEN 'HOME CONSUMPTION' ELSE 'SOLD TO FEDERAL DEALER' END AS disposition_of_catch,
+  e.dealer_num AS dealer_number,
+  CASE WHEN e.dealer_num IN {_NON_DEALER} OR (e.species_id = 'NC' AND e.dealer_num IS NULL) THEN 'NA'
+       ELSE e._dealer END AS dealer_name,
+  e.docid AS source_level1_key_id, e.imgid AS source_level2_key_id, e.catch_id AS source_level3_key_id,
+  upper(strftime(e.date_sail, '%d-%b-%y %H:%M:%S')) AS date_time_sail,
+  upper(strftime(e.date_land, '%d-%b-%y %H:%M:%S')) AS date_time_land,
+  {_key('e.docid', 'e.vessel_permit_num', 'e.nespp3')} AS docid_permit_spp_to_match,
+  {_key('e.docid', 'e.vessel_permit_num', 'e._itis')} AS docid_permit_sppitis_to_match,
+  coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || {_key('e.vessel_permit_num', i3)} AS docid_permit_sppitis3_to_match,
+  e.docid AS rtl_trip_id, 'DOCID' AS rtl_trip_id_source, e._itis AS species_itis,
+  CASE WHEN e.serial_num IS NOT NULL THEN r.ivr_project END AS rsa_ivr_project_id,
+  CASE WHEN e.serial_num IS NOT NULL THEN r.sfd_project END AS rsa_sfd_project_id
+FROM e
+LEFT JOIN reported r ON r.docid = e.docid AND r.serial = e.serial_num AND r.nespp3 = e.nespp3
+"""
+
+
+FEED_VESSEL = _vessel_sql()
+
 FEED_SQL = {
     "feed_ams": FEED_AMS,
     "feed_vms": FEED_VMS,
     "feed_ivr": FEED_IVR,
     "feed_dealer": FEED_DEALER,
+    "feed_vessel": FEED_VESSEL,
 }
