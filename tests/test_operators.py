@@ -147,3 +147,24 @@ def test_union_by_name_fills_missing(spark):
     b = spark.createDataFrame([(2,)], "id int")
     out = union_by_name(a, b)
     assert sorted((r.id, r.kept) for r in out.collect()) == [(1, 2.5), (2, None)]
+
+
+def test_code_lists_share_one_pass(spark):
+    from quayside.operators import code_lists
+    rng = random.Random(5)
+    rows = []
+    for _ in range(150):
+        start = BASE + dt.timedelta(days=rng.randrange(0, 200))
+        end = start + dt.timedelta(days=rng.choice([0, 5, 30, 364, 900]))
+        rows.append((rng.randrange(4), start, end, rng.choice("ABC"), rng.choice(["x", "y", None])))
+    probes = [(rng.randrange(5), BASE + dt.timedelta(days=rng.randrange(0, 400), hours=rng.randrange(24)))
+              for _ in range(250)]
+    vdf = spark.createDataFrame(rows, "permit int, f timestamp_ntz, t timestamp_ntz, c1 string, c2 string")
+    pdf = spark.createDataFrame(probes, "permit int, at timestamp_ntz")
+    got = {(r.permit, r.at): (r.l1, r.l2) for r in
+           code_lists(pdf, vdf, ["permit"], "at", "f", "t", {"l1": "c1", "l2": "c2"}, bucket_days=30,
+                      max_buckets=10).collect()}
+    for k, at in set(probes):
+        live = [r for r in rows if r[0] == k and r[1] <= at <= r[2]]
+        want = tuple(",".join(sorted({r[i] for r in live if r[i] is not None})) or None for i in (3, 4))
+        assert got[(k, at)] == want, (k, at)
