@@ -67,6 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     path = fallback or os.environ.get("QUAYSIDE_LOCAL_CHECKPOINT_DIR")
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # On a cluster a checkpoint must live in a shared folder every
+            # executor can read; a machine-local folder would lose it.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
         import tempfile
         path = tempfile.mkdtemp(prefix="quayside-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
