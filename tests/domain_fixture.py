@@ -153,6 +153,8 @@ VMS_END = [
          estimated_offload=ts(2024, 3, 6), species_code="SKT", species_name="SKATE WING"),
     dict(message_id=D(3), form_type="END", rsa_efp_hail_id=D(503), time_sent=ts(2022, 1, 5), vessel_permit_number="410002",
          vtr_number="5", estimated_offload=CUT_720 - SEC, species_code="COD"),         # outside window
+    dict(message_id=D(4), form_type="END", rsa_efp_hail_id=D(504), time_sent=ts(2024, 3, 5), vessel_permit_number="410002",
+         vtr_number="5X5", estimated_offload=ts(2024, 3, 6), species_code="COD"),       # dirty serial: quarantine
 ]
 VMS_START = [
     dict(message_id=D(11), rsa_efp_start_hail_id=D(601), time_sent=ts(2024, 3, 1), vessel_permit_number="410001",

@@ -15,5 +15,5 @@ def test_cli_run_from_parquet(spark, tmp_path):
     counts = main(["--sources", str(tmp_path / "src"), "--dimensions", str(tmp_path / "dim"),
                    "--warehouse", str(tmp_path / "wh"), "--run-seq", "7", "--as-of", fx.AS_OF.isoformat()])
     assert counts == {"rsa_rtl_ams": 3, "rsa_rtl_dealer": 4, "rsa_rtl_ivr": 4, "rsa_rtl_vms": 3,
-                      "rsa_rtl_vessel": 4, "quarantine": 1}
+                      "rsa_rtl_vessel": 4, "quarantine": 2}
     assert read_published(spark, str(tmp_path / "wh"), "rsa_rtl_vessel").count() == 4
