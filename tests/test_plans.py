@@ -52,3 +52,30 @@ def test_feed_plans_stay_in_jvm(spark):
         for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
             assert bad not in text
         assert "SinglePartition" not in text
+
+
+def test_shuffled_lookup_exchanges_on_salted_key(spark):
+    """The NULL-key salt must reach the shuffle, not just the join condition."""
+    from pyspark.sql import functions as F
+    from quayside.operators import dimension, lookup
+    fact = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).alias("k"), "id")
+    dim = dimension(spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), ["k"], ["v"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan_text(lookup(fact, dim, ["k"], ["v"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [l for l in text.splitlines() if "hashpartitioning(" in l]
+    assert exchanges and all("_lk_lkey" in l or "_lk_rkey" in l or "k#" in l for l in exchanges)
+    assert any("_lk_lkey" in l for l in exchanges) and any("_lk_rkey" in l for l in exchanges)
+
+
+def test_lag_within_has_no_single_partition_window(spark):
+    from pyspark.sql import functions as F
+    from quayside.operators import lag_within
+    df = spark.range(100).select((F.col("id") % 3).cast("string").alias("g"), "id", F.col("id").cast("string").alias("v"))
+    text = plan_text(lag_within(df, "g", [F.col("id")], "v", "prev", F.floor(F.col("id") / 10)))
+    assert "SinglePartition" not in text
+    assert "hashpartitioning(g#" in text
