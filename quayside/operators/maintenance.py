@@ -55,12 +55,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Operators that read their input twice (distinct probes + join back, the
     skew-safe LAG) would otherwise recompute every join above them once per
-    branch.  A reliable checkpoint writes the rows once to the session's
-    ``spark.checkpoint.dir`` (a shared folder on a cluster; set locally only
-    when unset) and both branches then read files, which also survives a
-    lost executor without replaying the upstream joins.
+    branch.  The rows are written once as a Parquet table under the
+    session's ``spark.checkpoint.dir`` (a shared folder on a cluster; set
+    locally only when unset) and read back: both branches then scan files,
+    columnar and compressed, and a lost executor does not replay the
+    upstream joins.
     """
+    import uuid
+
     from quayside.context import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quayside-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
