@@ -8,6 +8,7 @@ as columns.  A left join to a unique key can never change the row count.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +46,9 @@ def dimension(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     return best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
-_SIZE_PROOFS: dict[int, tuple[DataFrame, int]] = {}
+# Row counts proven per dimension object; weakly keyed, so a dimension that
+# is no longer used drops out and an id can never be mistaken for another.
+_SIZE_PROOFS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -55,18 +58,17 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -
     once per dimension object and remembered; above the bound the dimension
     is returned untouched and joins by shuffle.
     """
-    seen = _SIZE_PROOFS.get(id(dim))
-    if seen is None or seen[0] is not dim:
-        seen = (dim, dim.limit(max_rows + 1).count())
-        _SIZE_PROOFS[id(dim)] = seen
-    return F.broadcast(dim) if seen[1] <= max_rows else dim
+    n = _SIZE_PROOFS.get(dim)
+    if n is None:
+        n = _SIZE_PROOFS[dim] = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def prove_small(dims: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
     """Prove the size bound of several dimensions in one bounded action (a
     union of ``limit(max_rows + 1)`` counts), so a feed that joins many
     small reference tables pays for one job, not one per table."""
-    todo = [d for d in dims if _SIZE_PROOFS.get(id(d), (None,))[0] is not d]
+    todo = [d for d in dims if d not in _SIZE_PROOFS]
     if not todo:
         return
     parts = [d.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, d in enumerate(todo)]
@@ -75,7 +77,7 @@ def prove_small(dims: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROW
         u = u.unionByName(q)
     counts = {r["_i"]: r["n"] for r in u.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
     for i, d in enumerate(todo):
-        _SIZE_PROOFS[id(d)] = (d, counts.get(i, 0))
+        _SIZE_PROOFS[d] = counts.get(i, 0)
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
