@@ -16,13 +16,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.context import RunContext, ntz
+from quayside.context import RunContext
 from quayside.functions import (
-    contains_digit, datetime_text, elapsed_days, fishing_year, fishing_year_by_calendar,
+    datetime_text, elapsed_days, fishing_year, fishing_year_by_calendar,
     first_candidate, id_col, key_part, lookback, match_key, midpoint, serial_number,
     strip_leading_zeros, to_id,
 )
-from quayside.functions.calendar import CALENDAR_START_MONTH
 from quayside.functions.codes import (
     SKATE_ROLLUP, dealer_name_gate, dealer_type, decode, disposition, in_list,
     TRIP_ACTIVITY_TYPE, TRIP_CATEGORY,
