@@ -102,10 +102,10 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
     right = right.where(_and([F.col(f"{tag}_k{i}").isNotNull() for i in range(len(pairs))]))
     cond = [F.col(f) == F.col(f"{tag}_k{i}") for i, (f, _) in enumerate(pairs)]
 
-    if small:
-        if broadcast_if_small(dim, max_rows) is not dim:
-            right = F.broadcast(right)
-        joined = df.join(right, on=_and(cond), how="left")
+    # A dimension that fails its size proof joins like any large one.
+    broadcast = small and broadcast_if_small(dim, max_rows) is not dim
+    if broadcast:
+        joined = df.join(F.broadcast(right), on=_and(cond), how="left")
     elif spread_null_keys:
         # One struct key (fact keys + salt) against (dimension keys + 0):
         # the shuffle hashes the whole struct, so rows whose key has a NULL

@@ -168,3 +168,11 @@ def test_code_lists_share_one_pass(spark):
         live = [r for r in rows if r[0] == k and r[1] <= at <= r[2]]
         want = tuple(",".join(sorted({r[i] for r in live if r[i] is not None})) or None for i in (3, 4))
         assert got[(k, at)] == want, (k, at)
+
+
+def test_small_lookup_falls_back_to_shuffle_when_proof_fails(spark):
+    fact = spark.createDataFrame([(i, None if i % 2 else i % 7) for i in range(100)], "id int, k int")
+    dim = spark.createDataFrame([(k, f"v{k}") for k in range(7)], "k int, name string")
+    out = lookup(fact, dim, ["k"], ["name"], small=True, max_rows=3)     # 7 rows > 3: no broadcast
+    got = {r.id: r.name for r in out.collect()}
+    assert got == {i: (None if i % 2 else f"v{i % 7}") for i in range(100)}
