@@ -35,13 +35,14 @@ def dimension(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     never be matched by an equi join."""
     keys = list(keys)
     values = list(values)
+    not_null = _and([F.col(k).isNotNull() for k in keys])
+    if len(values) == 1 and not prefer:
+        # Same pick as the struct form below, but a plain max stays in the
+        # hash aggregate for fixed-width and decimal values.
+        return df.where(not_null).groupBy(*keys).agg(F.max(values[0]).alias(values[0]))
     order = list(prefer or []) + [F.col(v) for v in values]
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
                       *[F.col(v).alias(v) for v in values])
-    not_null = None
-    for k in keys:
-        cond = F.col(k).isNotNull()
-        not_null = cond if not_null is None else not_null & cond
     best = (df.where(not_null).groupBy(*keys).agg(F.max(packed).alias("_best")))
     return best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
