@@ -20,7 +20,7 @@ from quayside.context import RunContext
 from quayside.functions import (
     datetime_text, elapsed_days, fishing_year, fishing_year_by_calendar,
     first_candidate, id_col, key_part, lookback, match_key, midpoint, serial_number,
-    strip_leading_zeros, to_id,
+    strip_leading_zeros, to_id, validity_status,
 )
 from quayside.functions.codes import (
     SKATE_ROLLUP, dealer_name_gate, dealer_type, decode, disposition, in_list,
@@ -472,13 +472,7 @@ def project_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.max("o_orderdate").alias("valid_to"))
     o = lookup(o, validity, {"_project": "project"}, ["valid_from", "valid_to"])
     return o.select("o_orderkey", "o_custkey", "o_orderdate",
-                    _validity_status("o_orderdate", "valid_from", "valid_to").alias("project_status_valid"))
-
-
-def _validity_status(day, valid_from, valid_to):
-    d = F.to_date(day)
-    return F.when(F.col(valid_from).isNull() & F.col(valid_to).isNull(), F.lit(None).cast("string")) \
-        .when((d >= F.to_date(valid_from)) & (d <= F.to_date(valid_to)), F.lit("Y")).otherwise(F.lit("N"))
+                    validity_status("o_orderdate", "valid_from", "valid_to").alias("project_status_valid"))
 
 
 # --------------------------------------------------------------------------
