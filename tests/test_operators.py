@@ -176,3 +176,15 @@ def test_small_lookup_falls_back_to_shuffle_when_proof_fails(spark):
     out = lookup(fact, dim, ["k"], ["name"], small=True, max_rows=3)     # 7 rows > 3: no broadcast
     got = {r.id: r.name for r in out.collect()}
     assert got == {i: (None if i % 2 else f"v{i % 7}") for i in range(100)}
+
+
+def test_prove_small_batches_and_bounds(spark):
+    import sys
+    from quayside.operators import broadcast_if_small, prove_small
+    lookup_mod = sys.modules["quayside.operators.lookup"]
+    a = spark.range(5)
+    b = spark.range(50)
+    prove_small([a, b], max_rows=10)
+    assert lookup_mod._SIZE_PROOFS[a] == 5 and lookup_mod._SIZE_PROOFS[b] == 11   # counted up to the bound only
+    assert broadcast_if_small(a, 10) is not a        # proven small: broadcast hint added
+    assert broadcast_if_small(b, 10) is b            # above the bound: left to the planner
