@@ -131,3 +131,26 @@ def test_ntz_literal_is_zone_free(spark):
     df = spark.range(1).select(ntz(dt.datetime(2024, 1, 2, 3, 4, 5)).alias("t"))
     assert df.schema["t"].dataType.typeName() == "timestamp_ntz"
     assert df.first().t == dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_match_key_matches_dialect_model_on_random_rows(spark):
+    import random
+    rng = random.Random(17)
+
+    def strip(x):
+        if x is None:
+            return None
+        y = x.lstrip("0")
+        return y or None                       # '' is NULL in the source dialect
+
+    def model(docid, permit, itis):
+        parts = ["0" if docid is None else str(docid), permit or "", strip(itis) or ""]
+        return "-".join(parts)
+
+    rows = [(rng.choice([None, 0, 7, 9001, 10 ** 20]), rng.choice([None, "410001", "0"]),
+             rng.choice([None, "000", "00564123", "0", "120", ""])) for _ in range(300)]
+    df = spark.createDataFrame([(None if d is None else D(d), p, i) for d, p, i in rows],
+                               "docid decimal(38,0), permit string, itis string")
+    got = df.select(match_key(key_part("docid", 0), key_part("permit"),
+                              key_part(strip_leading_zeros("itis"))).alias("k")).collect()
+    assert [r.k for r in got] == [model(*r) for r in rows]
