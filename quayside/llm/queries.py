@@ -55,7 +55,7 @@ SQL = {
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS t FROM documents
 ), w AS (
-  SELECT rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM d
+  SELECT rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d
 ), grams AS (
   SELECT rid, i, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] AS g
   FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 3)
@@ -90,7 +90,7 @@ FROM m
 """,
     "op5_mix": r"""
 WITH d AS (
-  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> ''))::BIGINT AS size,
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
          md5('42:' || coalesce(doc_id::VARCHAR, 'null')) AS turn FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
