@@ -3,10 +3,15 @@ where SQL can express it."""
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import exact_dedup, line_quality, mixing, packing, simhash, url_rules
+from quayside.context import ensure_checkpoint_dir
+from quayside.llm import (
+    exact_dedup, line_quality, mixing, packing, simhash, suffix_dedup, token_counts, token_files, url_rules, word_windows,
+)
 from quayside.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,6 +28,16 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files/{uuid.uuid4().hex}"
+    token_files.write(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), folder, end_id=2, vocabulary=50_257)
+    return token_files.read(spark.read.parquet(folder))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
@@ -31,6 +46,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_windows.remove_repeats(documents(spark, sf_dir))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir))
 
@@ -42,8 +65,12 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_quality": op1_line_quality,
     "op2_url_rules": op2_url_rules,
+    "op3_token_counts": op3_token_counts,
+    "op4_token_files": op4_token_files,
     "op5_mix": op5_mix,
     "op6_simhash": op6_simhash,
+    "op7_word_windows": op7_word_windows,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack": op10_pack,
 }
