@@ -17,37 +17,47 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdDecompressor
 
-from quayside.llm.superkmers import COMMON, Strings, Units, covered, gather, joined_hash, keyed, repeated
+from quayside.llm.superkmers import COMMON, Strings, Units, covered, gather, joined_hash, keyed, mixed, repeated
 
 WINDOW = 35
 GRAM = 5
-#: word hashes a worker remembers (about 130 MB)
-CACHE_WORDS = 1_000_000
-_hashes: dict[bytes, int] = {}
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
+_BYTE[32] = 0
+_power = np.ones(1, np.uint64)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    new = set(words).difference(_hashes)
-    if len(_hashes) + len(new) > CACHE_WORDS:
-        _hashes.clear()
-        new = set(words)
-    for w in new:
-        _hashes[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter([_hashes[w] for w in words], np.uint64, len(words))
+def _powers(n: int) -> np.ndarray:
+    global _power
+    if len(_power) < n:
+        _power = np.concatenate(([np.uint64(1)], np.cumprod(np.full(2 * n, _A, np.uint64))))
+    return _power
+
+
+def word_hashes(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, each followed by one space, and where they start,
+    with the end."""
+    data = np.frombuffer(packed, np.uint8)
+    ends = np.flatnonzero(data == 32)
+    place = np.concatenate(([0], ends + 1))
+    if not len(ends):
+        return np.empty(0, np.uint64), place
+    size = np.diff(place)
+    inside = np.arange(len(data)) - np.repeat(place[:-1], size)
+    return mixed(np.add.reduceat(_BYTE[data] * _powers(int(size.max()))[inside], place[:-1])), place
 
 
 def split(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Packed words, their hashes, where each starts, its text, its text's end."""
-    each = [t.encode().split() for t in texts]
-    words = [w for ws in each for w in ws]
-    n = np.fromiter(map(len, each), np.int64, len(each))
-    place = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
-    return b" ".join(words) + b" ", word_hashes(words), place, np.repeat(np.arange(len(texts)), n), np.repeat(np.cumsum(n), n)
+    each = [b" ".join(t.encode().split()) for t in texts]
+    n = np.array([x.count(b" ") + 1 if x else 0 for x in each], np.int64)
+    packed = b"".join([x + b" " for x in each if x])
+    h, place = word_hashes(packed)
+    return packed, h, place, np.repeat(np.arange(len(texts)), n), np.repeat(np.cumsum(n), n)
 
 
 def units(window: int = WINDOW, gram: int = GRAM) -> Units:
@@ -56,15 +66,13 @@ def units(window: int = WINDOW, gram: int = GRAM) -> Units:
 
 def counted_twice(s: Strings, window: int) -> np.ndarray:
     """Flags of the windows (of all strings, in order) whose words occur twice."""
-    words = s.text.split()
-    h = word_hashes(words)
+    h, place = word_hashes(s.text)
     n_words = s.n + window - 1
     first = np.cumsum(n_words) - n_words
     at = np.repeat(first, s.n) + np.arange(s.n.sum()) - np.repeat(np.cumsum(s.n) - s.n, s.n)
     h1, h2 = joined_hash(h, window, _A)[at], joined_hash(h, window, _B)[at]
     order = np.lexsort((h2, h1))
     same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-    place = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
     pair = np.flatnonzero(same)
     a, b = place[at[order[pair]]].tolist(), place[at[order[pair + 1]]].tolist()
     size = (place[at[order[pair]] + window] - place[at[order[pair]]]).tolist()
@@ -86,10 +94,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = ZstdDecompressor()
         for batch in batches:
             n, gone, sha, body = [], [], [], []
-            for text, starts, lengths in zip(*(batch.column(c) for c in ("text", "starts", "lengths")), strict=True):
-                words = text.as_py().encode().split()
+            for frame, starts, lengths in zip(*(batch.column(c) for c in ("body", "starts", "lengths")), strict=True):
+                words = opened.decompress(frame.as_py()).split()
                 n.append(len(words))
                 if starts.is_valid:
                     out = covered(len(words), window, starts.as_py(), lengths.as_py())
