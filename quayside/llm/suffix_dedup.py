@@ -23,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdDecompressor
 
 from quayside.llm.superkmers import COMMON, Strings, Units, covered, gather, keyed, mixed, repeated, runs_of
 
 WINDOW = 100
-GRAM = 12
+GRAM = 20
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -53,8 +54,9 @@ def _words(t: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
-    """Places of ``t`` in the order of their suffixes' first ``depth`` bytes."""
+def suffix_array(t: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """Places of ``t`` in the order of their suffixes' first ``depth`` bytes;
+    ``words`` are its ``_words``."""
     n = len(t)
     if not n:
         return np.empty(0, np.int64)
@@ -63,7 +65,7 @@ def suffix_array(t: np.ndarray, depth: int) -> np.ndarray:
     after = np.searchsorted(change, np.arange(n))
     rises = np.concatenate((t[change + 1] > t[change], [False]))[after]
     direct = np.flatnonzero(rises)
-    direct = _sorted_directly(_words(t, depth), direct, depth)
+    direct = _sorted_directly(words, direct, depth)
     ends = np.concatenate(([0], np.cumsum(np.bincount(t[direct], minlength=256))))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     waiting[t[-1]].append(np.array([n - 1]))   # before the end, the smallest suffix of all
@@ -132,10 +134,11 @@ def found_earlier(s: Strings, window: int) -> np.ndarray:
     inside = np.arange(total) - np.repeat(np.cumsum(s.n) - s.n, s.n)
     window_at = np.full(len(t), -1, np.int64)
     window_at[s.at[:-1][string] + inside] = np.arange(total)
-    sa = suffix_array(t, window)
+    words = _words(t, window)
+    sa = suffix_array(t, words, window)
     sa = sa[window_at[sa] >= 0]   # places where a window starts
     w = window_at[sa]
-    same = common_prefix_reaches(t, _words(t, window), sa[:-1], sa[1:], window)
+    same = common_prefix_reaches(t, words, sa[:-1], sa[1:], window)
     group = np.concatenate(([0], np.cumsum(~same)))
     doc, key, start = s.doc[string[w]], s.key[string[w]], s.start[string[w]] + inside[w]
     twice = np.concatenate(([False], same)) | np.concatenate((same, [False]))
@@ -157,10 +160,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 
     def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = ZstdDecompressor()
         for batch in batches:
             n, gone, spans, sha, body = [], [], [], [], []
-            for text, starts, lengths in zip(*(batch.column(c) for c in ("text", "starts", "lengths")), strict=True):
-                data = text.as_py().encode()
+            for frame, starts, lengths in zip(*(batch.column(c) for c in ("body", "starts", "lengths")), strict=True):
+                data = opened.decompress(frame.as_py())
                 n.append(len(data))
                 if starts.is_valid:
                     out = covered(len(data), window, starts.as_py(), lengths.as_py())

@@ -26,15 +26,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor
 
 from quayside.llm.common import materialize, ship, text_of
 
 #: super-k-mers of a minimiser beyond which its windows are dealt one by one
-COMMON = 50_000
+COMMON = 150_000
 #: counters of a task's summary: a count is short by 1/COUNTERS of the task's rows at most
 COUNTERS = 1 << 17
-BUCKET_ROWS = 150_000
-CHUNK = 1 << 21
+BUCKET_ROWS = 100_000
+CHUNK = 1 << 19
+HELD = 1 << 23
 RUNS = "doc_id long, text_key int, start long, length long"
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -178,7 +180,7 @@ def deal(docs: DataFrame, units: Units, common: np.ndarray, n_buckets: int) -> D
                 pa.array([packed[x:y] for x, y in zip(a, b, strict=True)], pa.binary()),
                 pa.array((m % np.uint64(n_buckets)).astype(np.int64))], names=["m", "doc_id", "text_key", "start", "n", "packed", "bucket"]))
             size += len(packed)
-            if size > 8 * CHUNK:
+            if size > HELD:
                 yield _blobs(held)
                 held, size = [], 0
         if held:
@@ -196,7 +198,7 @@ def _blobs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     blobs = []
     for a, b in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as w:
             w.write_table(table.slice(a, b - a))
         blobs.append(sink.getvalue().to_pybytes())
     return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
@@ -335,9 +337,17 @@ def repeated(docs: DataFrame, units: Units, compare: Callable[[Strings], list[np
 
 
 def gather(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """``docs`` with ``runs``: the starts and lengths of each document's runs."""
+    """doc_id, ``body`` (the text as a zstd frame: it crosses a shuffle), and
+    the ``starts`` and ``lengths`` of each document's runs."""
+    def squeezed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = ZstdCompressor(level=1)
+        for batch in batches:
+            body = pa.array([press.compress(t.as_py().encode()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), body], names=["doc_id", "text_key", "body"])
+
     each = (materialize(runs).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("runs"))
             .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("runs.start").alias("starts"), F.col("runs.length").alias("lengths")))
+    docs = docs.mapInArrow(squeezed, "doc_id long, text_key int, body binary")
     return docs.join(each, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k")), "left").drop("d", "k")
 
 
