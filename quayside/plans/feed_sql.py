@@ -166,9 +166,20 @@ def _validity(day: str, vf: str, vt: str) -> str:
             f"CASE WHEN CAST({day} AS DATE) BETWEEN CAST({vf} AS DATE) AND CAST({vt} AS DATE) THEN 'Y' ELSE 'N' END END")
 
 
+def _whole(s: str) -> str:
+    """The whole number a text holds, else NULL."""
+    return f"CASE WHEN NOT regexp_matches({s}, '[.][0-9]*[1-9]|[eE]-') THEN TRY_CAST(trim({s}) AS DECIMAL(38,0)) END"
+
+
 def _serial_ok(s: str, allow_zero: bool) -> str:
-    ok = f"{s} IS NOT NULL AND regexp_matches({s}, '[0-9]') AND TRY_CAST(trim({s}) AS DECIMAL(38,0)) IS NOT NULL"
-    return ok if allow_zero else ok + f" AND TRY_CAST(trim({s}) AS DECIMAL(38,0)) <> 0"
+    ok = f"regexp_matches({s}, '[0-9]') AND ({_whole(s)}) IS NOT NULL"
+    return ok if allow_zero else ok + f" AND ({_whole(s)}) <> 0"
+
+
+def _no_id(docid: str, s: str) -> str:
+    """No document, and a serial with a digit that converts to no number: the
+    source's CASE reaches the conversion, and fails there."""
+    return f"coalesce({docid} IS NULL AND regexp_matches({s}, '[0-9]') AND ({_whole(s)}) IS NULL, false)"
 
 
 
@@ -193,7 +204,7 @@ x AS (
      ORDER BY d.date_sail DESC, d.docid DESC LIMIT 1) AS docid,
     (SELECT max(trim(i.rsa_vtrnbr)) FROM ivr_trip i WHERE i.rsa_tripid = t.trip_id) AS phone_serial
   FROM t),
-y AS (SELECT *, CASE WHEN trip_source = 'IVR' THEN TRY_CAST(trim(phone_serial) AS DECIMAL(38,0)) END AS phone FROM x)
+y AS (SELECT *, CASE WHEN trip_source = 'IVR' THEN {_whole('phone_serial')} END AS phone FROM x)
 SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'AMS' AS source_data,
   docid, das_id, trip_id, trip_source, permit_nbr, activity_code,
   CASE substr(activity_code, 1, 3) WHEN 'SES' THEN 'SCALLOP' WHEN 'MNK' THEN 'MONKFISH'
@@ -257,11 +268,11 @@ ends AS (
     coalesce(vtr_number, '0') || '-' || {_key('vessel_permit_number', 'itis')} AS vtr_permit_sppitis_to_match,
     coalesce(CAST(_docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', "CASE WHEN skate THEN '564' ELSE substr(itis, 1, 3) END")} AS docid_permit_sppitis3_to_match,
     coalesce(vtr_number, '0') || '-' || {_key('vessel_permit_number', "CASE WHEN skate THEN '564' ELSE substr(itis, 1, 3) END")} AS vtr_permit_sppitis3_to_match,
-    CASE WHEN _docid IS NOT NULL THEN _docid WHEN {_serial_ok('vtr_number', False)} THEN TRY_CAST(trim(vtr_number) AS DECIMAL(38,0))
+    CASE WHEN _docid IS NOT NULL THEN _docid WHEN {_serial_ok('vtr_number', False)} THEN {_whole('vtr_number')}
          ELSE rsa_efp_hail_id END AS rtl_trip_id,
     CASE WHEN _docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('vtr_number', False)} THEN 'VTRSERNO'
          ELSE 'RSA_EFP_HAIL_ID' END AS rtl_trip_id_source,
-    coalesce(vtr_number IS NOT NULL AND regexp_matches(vtr_number, '[0-9]') AND TRY_CAST(trim(vtr_number) AS DECIMAL(38,0)) IS NULL, false) AS _dirty
+    {_no_id('_docid', 'vtr_number')} AS _dirty
   FROM h),
 st AS (
   SELECT s.*, sd.docid AS _docid, vn.vessel_name, pj.program AS _program
@@ -277,11 +288,11 @@ starts AS (
     vessel_permit_number, vessel_name, hull_id, vtr_number, _program AS rsa_program, project_code, landing_city,
     landing_state, estimated_arrival, rsa_efp_start_hail_id AS source_level1_key_id,
     {_AGE.format(c='time_sent')} AS trip_age_in_days, upper(strftime(time_sent, '%d-%b-%y %H:%M:%S')) AS date_time_sent,
-    CASE WHEN _docid IS NOT NULL THEN _docid WHEN {_serial_ok('vtr_number', False)} THEN TRY_CAST(trim(vtr_number) AS DECIMAL(38,0))
+    CASE WHEN _docid IS NOT NULL THEN _docid WHEN {_serial_ok('vtr_number', False)} THEN {_whole('vtr_number')}
          ELSE rsa_efp_start_hail_id END AS rtl_trip_id,
     CASE WHEN _docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('vtr_number', False)} THEN 'VTRSERNO'
          ELSE 'RSA_EFP_START_HAIL_ID' END AS rtl_trip_id_source,
-    coalesce(vtr_number IS NOT NULL AND regexp_matches(vtr_number, '[0-9]') AND TRY_CAST(trim(vtr_number) AS DECIMAL(38,0)) IS NULL, false) AS _dirty
+    {_no_id('_docid', 'vtr_number')} AS _dirty
   FROM st),
 u AS (SELECT * FROM ends UNION ALL BY NAME SELECT * FROM starts)
 SELECT u.* EXCLUDE (_dirty), {_validity('u.time_sent', 'p2.valid_from', 'p2.valid_to')} AS project_status_valid
@@ -359,15 +370,14 @@ SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'IVR' AS
   coalesce(rsa_vtrnbr, '0') || '-' || {_key('vessel_permit_number', 'species_itis')} AS vtr_permit_sppitis_to_match,
   coalesce(CAST(docid AS VARCHAR), '0') || '-' || {_key('vessel_permit_number', _I3)} AS docid_permit_sppitis3_to_match,
   coalesce(rsa_vtrnbr, '0') || '-' || {_key('vessel_permit_number', _I3)} AS vtr_permit_sppitis3_to_match,
-  CASE WHEN docid IS NOT NULL THEN docid WHEN {_serial_ok('rsa_vtrnbr', False)} THEN TRY_CAST(trim(rsa_vtrnbr) AS DECIMAL(38,0))
+  CASE WHEN docid IS NOT NULL THEN docid WHEN {_serial_ok('rsa_vtrnbr', False)} THEN {_whole('rsa_vtrnbr')}
        ELSE rsa_tripid END AS rtl_trip_id,
   CASE WHEN docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('rsa_vtrnbr', False)} THEN 'VTRSERNO'
        ELSE 'RSA_TRIPID' END AS rtl_trip_id_source,
   species_itis
 FROM t
 WHERE NOT coalesce(vessel_permit_number IN ('111111', '555555', '888888'), false)
-  AND NOT coalesce(rsa_vtrnbr IS NOT NULL AND regexp_matches(rsa_vtrnbr, '[0-9]')
-                   AND TRY_CAST(trim(rsa_vtrnbr) AS DECIMAL(38,0)) IS NULL, false)
+  AND NOT {_no_id('docid', 'rsa_vtrnbr')}
 """
 
 
@@ -510,16 +520,15 @@ SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'DEALER'
   coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || {_key('e.permit', _I3_NZ)} AS docid_permit_sppitis3_to_match,
   coalesce(e.vtrserno, '0') || '-' || {_key('e.permit', _I3_NZ)} AS vtr_permit_sppitis3_to_match,
   CASE WHEN e.docid IS NOT NULL THEN e.docid
-       WHEN {_serial_ok('e.vtrserno', True)} THEN TRY_CAST(trim(e.vtrserno) AS DECIMAL(38,0))
-       ELSE TRY_CAST(CAST(e.dealer_rpt_id AS VARCHAR) || e.permit AS DECIMAL(38,0)) END AS rtl_trip_id,
+       WHEN {_serial_ok('e.vtrserno', True)} THEN {_whole('e.vtrserno')}
+       ELSE TRY_CAST(concat(CAST(e.dealer_rpt_id AS VARCHAR), e.permit) AS DECIMAL(38,0)) END AS rtl_trip_id,
   CASE WHEN e.docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('e.vtrserno', True)} THEN 'VTRSERNO'
        ELSE 'DEALER_RPT_ID-PERMIT' END AS rtl_trip_id_source,
   CASE WHEN e.vtrserno IS NOT NULL THEN r.ivr_project END AS rsa_ivr_project_id,
   CASE WHEN e.vtrserno IS NOT NULL THEN r.sfd_project END AS rsa_sfd_project_id
 FROM e
 LEFT JOIN reported r ON r.docid = e.docid AND r.serial = e.vtrserno AND r.nespp3 = e.nespp3
-WHERE NOT coalesce(e.vtrserno IS NOT NULL AND regexp_matches(e.vtrserno, '[0-9]')
-                   AND TRY_CAST(trim(e.vtrserno) AS DECIMAL(38,0)) IS NULL, false)
+WHERE NOT {_no_id('e.docid', 'e.vtrserno')}
 """
 
 
@@ -610,7 +619,27 @@ LEFT JOIN reported r ON r.docid = e.docid AND r.serial = e.serial_num AND r.nesp
 
 FEED_VESSEL = _vessel_sql()
 
+
+
+def _quarantine(feed: str, target: str, keys: str, serial: str, source: str, where: str) -> str:
+    """The rows that a feed's statement leaves out for their serial."""
+    return feed[:feed.rindex("\nSELECT ")] + f"""
+SELECT '{target}' AS target, 'serial has a digit but is not a number' AS reason, {keys}, {serial} AS value
+FROM {source} WHERE {where}
+"""
+
+
 FEED_SQL = {
+    "quarantine_dealer": _quarantine(
+        FEED_DEALER, "rsa_rtl_dealer", "dealer_rpt_id AS source_level1_key_id, landing_seq AS source_level2_key_id",
+        "vtrserno", "e", _no_id("docid", "vtrserno")),
+    "quarantine_ivr": _quarantine(
+        FEED_IVR, "rsa_rtl_ivr", "rsa_tripid AS source_level1_key_id, rsa_trip_reportid AS source_level2_key_id",
+        "rsa_vtrnbr", "t", "NOT coalesce(vessel_permit_number IN ('111111', '555555', '888888'), false) AND "
+        + _no_id("docid", "rsa_vtrnbr")),
+    "quarantine_vms": _quarantine(
+        FEED_VMS, "rsa_rtl_vms", "rsa_efp_hail_id AS source_level1_key_id, message_id AS source_level2_key_id",
+        "vtr_number", "u", "_dirty"),
     "feed_ams": FEED_AMS,
     "feed_vms": FEED_VMS,
     "feed_ivr": FEED_IVR,

@@ -76,35 +76,37 @@ WITH b AS (
   SELECT event_id, user_id,
          CASE WHEN user_id % 3 = 0 THEN CAST(user_id AS DECIMAL(38,0)) END AS docid,
          substr(props, 7, length(props) - 7) AS serial
-  FROM events)
+  FROM events),
+c AS (SELECT *, CASE WHEN NOT regexp_matches(serial, '[.][0-9]*[1-9]|[eE]-') THEN TRY_CAST(trim(serial) AS DECIMAL(38,0)) END AS number FROM b)
 SELECT event_id, user_id, docid, serial,
   CASE WHEN docid IS NOT NULL THEN docid
-       WHEN serial IS NOT NULL AND regexp_matches(serial, '[0-9]') AND TRY_CAST(trim(serial) AS DECIMAL(38,0)) <> 0
-            THEN TRY_CAST(trim(serial) AS DECIMAL(38,0))
+       WHEN regexp_matches(serial, '[0-9]') AND number <> 0
+            THEN number
        ELSE CAST(event_id AS DECIMAL(38,0)) END AS rtl_trip_id,
   CASE WHEN docid IS NOT NULL THEN 'DOCID'
-       WHEN serial IS NOT NULL AND regexp_matches(serial, '[0-9]') AND TRY_CAST(trim(serial) AS DECIMAL(38,0)) <> 0
+       WHEN regexp_matches(serial, '[0-9]') AND number <> 0
             THEN 'VTRSERNO'
        ELSE 'RSA_TRIPID' END AS rtl_trip_id_source
-FROM b
+FROM c
 """,
     "dealer_trip_id": """
 WITH b AS (
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
          CASE WHEN l_orderkey % 3 <> 1 THEN CAST(l_orderkey AS DECIMAL(38,0)) END AS docid,
-         CASE l_linenumber WHEN 1 THEN '0' WHEN 2 THEN ' 77 ' WHEN 3 THEN 'ABC' WHEN 4 THEN NULL
+         CASE l_linenumber WHEN 1 THEN '0' WHEN 6 THEN '12.5' WHEN 2 THEN ' 77 ' WHEN 3 THEN 'ABC' WHEN 4 THEN NULL
               ELSE CAST(l_partkey AS VARCHAR) END AS serial,
          CAST(l_orderkey + 12345678901234 AS VARCHAR) AS dealer_rpt_id,
-         CAST(l_suppkey + 330000 AS VARCHAR) AS permit
-  FROM lineitem)
+         CASE WHEN l_suppkey % 7 <> 0 THEN CAST(l_suppkey + 330000 AS VARCHAR) END AS permit
+  FROM lineitem),
+c AS (SELECT *, CASE WHEN NOT regexp_matches(serial, '[.][0-9]*[1-9]|[eE]-') THEN TRY_CAST(trim(serial) AS DECIMAL(38,0)) END AS number FROM b)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, docid, serial,
   CASE WHEN docid IS NOT NULL THEN docid
-       WHEN serial IS NOT NULL AND regexp_matches(trim(serial), '[0-9]') THEN TRY_CAST(trim(serial) AS DECIMAL(38,0))
-       ELSE TRY_CAST(dealer_rpt_id || permit AS DECIMAL(38,0)) END AS rtl_trip_id,
+       WHEN number IS NOT NULL THEN number
+       ELSE TRY_CAST(concat(dealer_rpt_id, permit) AS DECIMAL(38,0)) END AS rtl_trip_id,
   CASE WHEN docid IS NOT NULL THEN 'DOCID'
-       WHEN serial IS NOT NULL AND regexp_matches(serial, '[0-9]') THEN 'VTRSERNO'
+       WHEN number IS NOT NULL THEN 'VTRSERNO'
        ELSE 'DEALER_RPT_ID-PERMIT' END AS rtl_trip_id_source
-FROM b
+FROM c
 """,
     "midpoint_lookup": f"""
 WITH r AS (

@@ -194,14 +194,15 @@ def dealer_trip_id(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("l_linenumber") == 2, F.lit(" 77 "))
          .when(F.col("l_linenumber") == 3, F.lit("ABC"))
          .when(F.col("l_linenumber") == 4, F.lit(None).cast("string"))
+         .when(F.col("l_linenumber") == 6, F.lit("12.5"))
          .otherwise(F.col("l_partkey").cast("string")).alias("serial"),
         (F.col("l_orderkey") + F.lit(12345678901234)).cast("string").alias("dealer_rpt_id"),
-        (F.col("l_suppkey") + F.lit(330000)).cast("string").alias("permit"),
+        F.when(F.col("l_suppkey") % 7 != 0, (F.col("l_suppkey") + F.lit(330000)).cast("string")).alias("permit"),
     )
     value, label = first_candidate([
         (F.col("docid"), "DOCID"),
         (serial_number("serial", allow_zero=True), "VTRSERNO"),
-        (to_id(F.concat(F.col("dealer_rpt_id"), F.col("permit"))), "DEALER_RPT_ID-PERMIT"),
+        (to_id(F.concat(key_part("dealer_rpt_id"), key_part("permit"))), "DEALER_RPT_ID-PERMIT"),
     ])
     return base.select(*_line_keys(), "docid", "serial",
                        value.alias("rtl_trip_id"), label.alias("rtl_trip_id_source"))

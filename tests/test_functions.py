@@ -14,7 +14,7 @@ from quayside.functions import (
 from quayside.functions.codes import (
     dealer_name_gate, dealer_type, decode, disposition, program_from_activity, TRIP_CATEGORY,
 )
-from quayside.functions.ids import dirty_serial
+from quayside.functions.ids import dirty_serial, to_id, unusable_serial
 
 
 def one(spark, col, ddl="x string", rows=(("a",),)):
@@ -154,3 +154,14 @@ def test_match_key_matches_dialect_model_on_random_rows(spark):
     got = df.select(match_key(key_part("docid", 0), key_part("permit"),
                               key_part(strip_leading_zeros("itis"))).alias("k")).collect()
     assert [r.k for r in got] == [model(*r) for r in rows]
+
+
+def test_fractional_serials_are_no_ids(spark):
+    rows = [("12.5",), ("0.4",), ("12.0",), (" 77 ",), ("5e-1",), ("x",), (None,)]
+    assert [v and int(v) for v in values(spark, to_id("x"), "x string", rows)] == [None, None, 12, 77, None, None, None]
+
+
+def test_a_document_excuses_a_dirty_serial(spark):
+    rows = [("12A4", 9), ("12A4", None), ("12.5", None), ("ABC", None), (None, None), ("12", None)]
+    got = values(spark, unusable_serial("d", "x"), "x string, d int", rows)
+    assert got == [False, True, True, False, False, False]
