@@ -47,32 +47,32 @@ def dimension(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     return best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
-# Row counts proven per dimension object; weakly keyed, so a dimension that
-# is no longer used drops out and an id can never be mistaken for another.
+# Exact row counts per dimension object; weakly keyed, so a dimension that is
+# no longer used drops out and an id can never be mistaken for another.  A
+# count holds as long as the files behind the object do; a run builds its
+# dimension objects anew.
 _SIZE_PROOFS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
 def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``dim`` only after proving it holds at most ``max_rows`` rows.
 
-    The check is one bounded action (``limit(max_rows + 1).count()``), done
-    once per dimension object and remembered; above the bound the dimension
-    is returned untouched and joins by shuffle.
+    The check is an exact count, done once per dimension object and
+    remembered, so it answers for any bound; above the bound the dimension is
+    returned untouched and joins by shuffle.
     """
-    n = _SIZE_PROOFS.get(dim)
-    if n is None:
-        n = _SIZE_PROOFS[dim] = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    prove_small([dim])
+    return F.broadcast(dim) if _SIZE_PROOFS[dim] <= max_rows else dim
 
 
-def prove_small(dims: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> None:
-    """Prove the size bound of several dimensions in one bounded action (a
-    union of ``limit(max_rows + 1)`` counts), so a feed that joins many
-    small reference tables pays for one job, not one per table."""
+def prove_small(dims: Sequence[DataFrame]) -> None:
+    """Count several dimensions in one action (partial counts per task, one row
+    per dimension to the driver), so a feed that joins many reference tables
+    pays for one job, not one per table."""
     todo = [d for d in dims if d not in _SIZE_PROOFS]
     if not todo:
         return
-    parts = [d.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, d in enumerate(todo)]
+    parts = [d.select(F.lit(i).alias("_i")) for i, d in enumerate(todo)]
     u = parts[0]
     for q in parts[1:]:
         u = u.unionByName(q)
@@ -83,13 +83,15 @@ def prove_small(dims: Sequence[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROW
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
            cols: Sequence[str] | dict | None = None, *, small: bool = False,
-           max_rows: int = DEFAULT_BROADCAST_ROWS, spread_null_keys: bool = True) -> DataFrame:
+           max_rows: int = DEFAULT_BROADCAST_ROWS, spread_null_keys: bool = True,
+           row_key: Sequence[str] | None = None) -> DataFrame:
     """Left-join ``dim`` (unique on its key) onto ``df`` and add ``cols``.
 
     ``on`` maps fact column -> dimension column (a list means same names).
     ``cols`` maps dimension column -> output name.  ``small=True`` asks for a
     broadcast, granted only if :func:`broadcast_if_small` proves the size.
-    Shuffled joins spread NULL-key fact rows over many tasks.
+    Shuffled joins spread NULL-key fact rows over many tasks by a hash of
+    ``row_key``, columns that tell the fact rows apart.
     """
     pairs = list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
     dim_keys = [d for _, d in pairs]
@@ -101,7 +103,13 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
     right = dim.select(*[F.col(d).alias(f"{tag}_k{i}") for i, (_, d) in enumerate(pairs)],
                        *[F.col(c).alias(f"{tag}_v_{o}") for c, o in out_map.items()])
     right = right.where(_and([F.col(f"{tag}_k{i}").isNotNull() for i in range(len(pairs))]))
-    cond = [F.col(f) == F.col(f"{tag}_k{i}") for i, (f, _) in enumerate(pairs)]
+    # Both paths compare the same values: keys of one type, or integers and
+    # decimals widened without loss.  Text against numbers is refused, since
+    # its meaning would depend on how the join is carried out.
+    types = [_common_type(f, df.schema[f].dataType, d, dim.schema[d].dataType) for f, d in pairs]
+    right = right.select(*[F.col(f"{tag}_k{i}").cast(t).alias(f"{tag}_k{i}") for i, t in enumerate(types)],
+                         *[F.col(f"{tag}_v_{o}") for o in out_map.values()])
+    cond = [F.col(f).cast(t) == F.col(f"{tag}_k{i}") for i, ((f, _), t) in enumerate(zip(pairs, types))]
 
     # A dimension that fails its size proof joins like any large one.
     broadcast = small and broadcast_if_small(dim, max_rows) is not dim
@@ -114,10 +122,12 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
         # instead of piling into one.  Being a single expression, the key
         # cannot be satisfied by a partitioning on the bare key, so the
         # planner cannot drop the salt by re-using the dimension's layout.
+        # The salt hashes the row's own key (all columns unless the caller
+        # names it, which lets the scan skip the rest); a retried task deals
+        # its rows out as before.
         any_null = _or([F.col(f).isNull() for f, _ in pairs])
-        salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+        salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in row_key or df.columns]),
                                        F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0)).cast("int")
-        types = [_common_type(df.schema[f].dataType, dim.schema[d].dataType) for f, d in pairs]
         left_key = F.struct(*[F.col(f).cast(t).alias(f"k{i}") for i, ((f, _), t) in enumerate(zip(pairs, types))],
                             salt.alias("s"))
         left = df.withColumn(f"{tag}_lkey", left_key)
@@ -134,8 +144,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """A type both key sides widen to without loss (for the struct key)."""
+def _common_type(fact: str, a: T.DataType, dim: str, b: T.DataType) -> T.DataType:
+    """The type both key sides have or widen to without loss."""
     if a == b:
         return a
     if isinstance(a, _INTEGRAL) and isinstance(b, _INTEGRAL):
@@ -143,11 +153,7 @@ def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     if isinstance(a, (T.DecimalType,) + _INTEGRAL) and isinstance(b, (T.DecimalType,) + _INTEGRAL):
         scale = max(getattr(a, "scale", 0), getattr(b, "scale", 0))
         return T.DecimalType(38, scale)
-    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
-        return T.DoubleType()
-    if isinstance(a, T.StringType) or isinstance(b, T.StringType):
-        return T.StringType()
-    return a
+    raise TypeError(f"lookup keys {fact} ({a.simpleString()}) and {dim} ({b.simpleString()}) differ in kind; cast one")
 
 
 def _and(conds):

@@ -1,3 +1,4 @@
+import pytest
 """Operators against brute force on small random inputs, including hot keys,
 NULL keys and bucket edges."""
 
@@ -184,7 +185,34 @@ def test_prove_small_batches_and_bounds(spark):
     lookup_mod = sys.modules["quayside.operators.lookup"]
     a = spark.range(5)
     b = spark.range(50)
-    prove_small([a, b], max_rows=10)
-    assert lookup_mod._SIZE_PROOFS[a] == 5 and lookup_mod._SIZE_PROOFS[b] == 11   # counted up to the bound only
+    prove_small([a, b])
+    assert lookup_mod._SIZE_PROOFS[a] == 5 and lookup_mod._SIZE_PROOFS[b] == b.count()   # exact, so it answers for any bound
     assert broadcast_if_small(a, 10) is not a        # proven small: broadcast hint added
     assert broadcast_if_small(b, 10) is b            # above the bound: left to the planner
+
+
+def test_a_proof_for_one_bound_does_not_grant_another(spark):
+    from quayside.operators.lookup import broadcast_if_small
+    dim = spark.range(300)
+    assert broadcast_if_small(dim, max_rows=10) is dim
+    assert broadcast_if_small(dim, max_rows=200) is dim
+    assert broadcast_if_small(dim, max_rows=300) is not dim
+
+
+def test_lookup_gives_one_answer_on_both_paths(spark):
+    fact = spark.createDataFrame([("007",), ("7",), (None,)], "k string")
+    numbers = spark.createDataFrame([(7, "seven")], "k int, name string")
+    for small in (True, False):
+        with pytest.raises(TypeError, match="differ in kind"):
+            lookup(fact, numbers, ["k"], ["name"], small=small)
+    fact = spark.createDataFrame([(7,), (8,), (None,)], "k int").selectExpr("CAST(k AS decimal(10,0)) AS k")
+    got = [sorted(map(tuple, lookup(fact, numbers, ["k"], ["name"], small=small).collect()), key=str) for small in (True, False)]
+    assert got[0] == got[1] and len(got[0]) == 3
+
+
+def test_salt_reads_only_the_named_columns(spark, scratch_dir):
+    spark.range(20).selectExpr("id", "id % 3 AS k", *[f"id AS c{i}" for i in range(8)]).write.parquet(f"{scratch_dir}/f")
+    fact = spark.read.parquet(f"{scratch_dir}/f")
+    dim = spark.createDataFrame([(1, "x")], "k long, name string")
+    plan = lookup(fact, dim, ["k"], ["name"], row_key=["id"]).select("id", "name")._jdf.queryExecution().executedPlan().toString()
+    assert "struct<id:bigint,k:bigint>" in plan

@@ -6,6 +6,8 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from quayside.plans.feed_standins import FEED_QUERIES
+from quayside.plans.standins import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -17,7 +19,7 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted({**QUERIES, **FEED_QUERIES}))
 def test_standin_plans_stay_in_jvm_and_distributed(spark, name):
     text = plan_text(E.queries()[name](spark, SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
