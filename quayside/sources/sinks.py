@@ -1,19 +1,24 @@
 """Staged writes, publish, run log.
 
-Every target of a run is first written under ``_staging/run=<seq>/<table>``
-in the warehouse (a shared folder on a cluster).  Reading a staged table
+Every target of a run is first written under
+``_staging/run=<seq>/attempt=<id>/<table>`` in the warehouse (a shared folder
+on a cluster); the attempt id is new for every :class:`Stage`, so running a
+run id again never touches files that readers use.  Reading a staged table
 back cuts the lineage: a later step, or a retried task after a lost
 executor, restarts from files, not from the sources.  Only when all tables
-of the run are written does :meth:`Stage.publish` repoint the published
-names, so readers never see a half-refreshed set (the source truncated and
-committed table by table and swallowed errors).
+of the run are written does :meth:`Stage.publish` add one pointer set, under
+the next publish number; pointer files are never rewritten, and readers take
+the newest number, whatever the run ids.  A reader never sees a half-refreshed
+set (the source truncated and committed table by table and swallowed errors).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +31,12 @@ class Stage:
         self.spark = spark
         self.warehouse = warehouse.rstrip("/")
         self.run_seq = run_seq
+        self.attempt = uuid.uuid4().hex
         self.paths: dict[str, str] = {}
         self.counts: dict[str, int] = {}
 
     def path(self, table: str) -> str:
-        return f"{self.warehouse}/_staging/run={self.run_seq}/{table}"
+        return f"{self.warehouse}/_staging/run={self.run_seq}/attempt={self.attempt}/{table}"
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Write ``df`` (one pass; its row count observed on the way) and
@@ -38,7 +44,7 @@ class Stage:
         obs = Observation(f"rows_{table}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         path = self.path(table)
-        observed.write.mode("overwrite").parquet(path)
+        observed.write.mode("error").parquet(path)
         self.paths[table] = path
         self.counts[table] = int(obs.get["rows"])
         return self.spark.read.parquet(path)
@@ -46,23 +52,32 @@ class Stage:
     def publish(self) -> None:
         rows = [(t, self.run_seq, p) for t, p in sorted(self.paths.items())]
         ptr = self.spark.createDataFrame(rows, "table string, run_seq bigint, path string")
-        previous = read_pointer(self.spark, self.warehouse)
-        if previous is not None:
-            keep = previous.join(ptr.select("table"), "table", "left_anti")
+        sets = _pointer_sets(self.spark, self.warehouse)
+        number = 1
+        if sets is not None:
+            number = sets.agg(F.max("publish")).first()[0] + 1
+            keep = read_pointer(self.spark, self.warehouse).join(ptr.select("table"), "table", "left_anti")
             ptr = keep.unionByName(ptr)
-        # The pointer is tiny; collect-free rewrite via a new versioned file.
-        ptr.coalesce(1).write.mode("overwrite").parquet(f"{self.warehouse}/{POINTER}/run={self.run_seq}")
+        # a few rows; a second publisher that took the same number fails here
+        ptr.coalesce(1).write.mode("error").parquet(f"{self.warehouse}/{POINTER}/publish={number}")
 
 
-def read_pointer(spark: SparkSession, warehouse: str) -> DataFrame | None:
-    """Latest published pointer set (the highest run that published)."""
-    base = f"{warehouse.rstrip('/')}/{POINTER}"
+def _pointer_sets(spark: SparkSession, warehouse: str) -> DataFrame | None:
     try:
-        df = spark.read.parquet(base)
-    except Exception:  # nothing published yet
+        return spark.read.parquet(f"{warehouse.rstrip('/')}/{POINTER}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None   # nothing published yet
+
+
+def read_pointer(spark: SparkSession, warehouse: str) -> DataFrame | None:
+    """The newest published pointer set."""
+    sets = _pointer_sets(spark, warehouse)
+    if sets is None:
         return None
-    top = df.agg(F.max("run").alias("run"))
-    return df.join(top, "run", "left_semi").select("table", "run_seq", "path")
+    top = sets.agg(F.max("publish").alias("publish"))
+    return sets.join(top, "publish", "left_semi").select("table", "run_seq", "path")
 
 
 def read_published(spark: SparkSession, warehouse: str, table: str) -> DataFrame:

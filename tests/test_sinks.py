@@ -30,3 +30,32 @@ def test_failed_run_is_logged_reraised_and_not_published(spark, tmp_path):
     log = RunLog(spark, str(tmp_path)).read().orderBy("logged_at").collect()
     assert [r.status for r in log] == ["START", "FAILED"]
     assert read_pointer(spark, str(tmp_path)) is None      # nothing half-published
+
+
+def test_a_run_id_can_run_again(spark, tmp_path):
+    wh = str(tmp_path)
+    first = Stage(spark, wh, 7)
+    first.write("a", spark.range(3))
+    first.publish()
+    reader = read_published(spark, wh, "a")
+    again = Stage(spark, wh, 7)
+    again.write("a", spark.range(9))
+    assert reader.count() == 3 and read_published(spark, wh, "a").count() == 3    # not published yet
+    again.publish()
+    assert reader.count() == 3 and read_published(spark, wh, "a").count() == 9
+
+
+def test_the_newest_publish_counts_not_the_highest_run(spark, tmp_path):
+    wh = str(tmp_path)
+    for seq, n in ((5, 5), (2, 2)):
+        s = Stage(spark, wh, seq)
+        s.write("a", spark.range(n))
+        s.publish()
+    assert read_published(spark, wh, "a").count() == 2
+
+
+def test_other_read_errors_are_not_taken_for_nothing_published(spark, tmp_path):
+    (tmp_path / "_published" / "publish=1").mkdir(parents=True)
+    (tmp_path / "_published" / "publish=1" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|FAILED_READ"):
+        Stage(spark, str(tmp_path), 1).publish() or read_pointer(spark, str(tmp_path)).count()
