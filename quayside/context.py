@@ -1,6 +1,6 @@
 """Run context and session settings.
 
-The reference reads the wall clock many times per row.  Here the clock is
+The source procedure reads the wall clock many times per row.  Here the clock is
 frozen once per run in :class:`RunContext` and enters every plan as a
 literal, so a retried task or a re-run with the same context gives the same
 rows.
@@ -98,7 +98,7 @@ def ntz(value: _dt.datetime | _dt.date | str) -> Column:
 class RunContext:
     """Frozen per-run values: the run id and the run clock.
 
-    ``as_of`` replaces every wall-clock read of the reference; the lookback
+    ``as_of`` replaces every wall-clock read of the source procedure; the lookback
     windows are whole days counted back from the day of ``as_of``.
     """
 
