@@ -62,19 +62,3 @@ def midpoint(start, end) -> Column:
 def elapsed_days(as_of: _dt.datetime, c) -> Column:
     """Fractional days from ``c`` to the run clock (double)."""
     return F.timestamp_diff("MICROSECOND", as_col(c), ntz(as_of)).cast("double") / F.lit(86400000000.0)
-
-
-def day_of(c) -> Column:
-    """Day truncation of a timestamp (``TO_DATE``/``TRUNC``)."""
-    return F.to_date(as_col(c))
-
-
-def validity_status(day, valid_from, valid_to) -> Column:
-    """Project validity on a day (LKP-23): 'Y' inside ``[valid_from,
-    valid_to]`` (whole days), 'N' outside, NULL when the project is unknown
-    (no validity) or the day is NULL."""
-    d = F.to_date(as_col(day))
-    vf, vt = as_col(valid_from), as_col(valid_to)
-    known = vf.isNotNull() | vt.isNotNull()
-    inside = (d >= F.to_date(vf)) & (d <= F.to_date(vt))
-    return F.when(known & d.isNotNull(), F.when(F.coalesce(inside, F.lit(False)), F.lit("Y")).otherwise(F.lit("N")))

@@ -2,15 +2,15 @@
 DataFrame operations, so Catalyst and AQE plan them."""
 
 from quayside.operators.lookup import dimension, lookup, broadcast_if_small, prove_small
-from quayside.operators.interval import interval_lookup, code_list, code_lists
+from quayside.operators.interval import interval_lookup, code_list, code_lists, validity_flag
 from quayside.operators.membership import membership_flag, ordered_membership
-from quayside.operators.window import lag_within
+from quayside.operators.window import cut_by_range, lag_within
 from quayside.operators.maintenance import (
     backfill, fill_defaults, materialize, purge, union_by_name, typed_nulls,
 )
 
 __all__ = [
-    "dimension", "lookup", "broadcast_if_small", "prove_small", "interval_lookup", "code_list", "code_lists",
-    "membership_flag", "ordered_membership", "lag_within", "backfill",
+    "dimension", "lookup", "broadcast_if_small", "prove_small", "interval_lookup", "code_list", "code_lists", "validity_flag",
+    "membership_flag", "ordered_membership", "cut_by_range", "lag_within", "backfill",
     "fill_defaults", "materialize", "purge", "union_by_name", "typed_nulls",
 ]

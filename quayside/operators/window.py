@@ -2,11 +2,12 @@
 
 ``LAG(v) OVER (ORDER BY g, o...)`` guarded by "previous g equals this g" is a
 LAG partitioned by ``g``.  Partitioning by ``g`` alone would put a hot group
-(say a third of all rows) into one task, so each group is further cut into
-contiguous sub-ranges of its ordering (``bucket``).  LAG runs inside
-``(g, bucket)``; the first row of a bucket takes the last value of the
-nearest earlier non-empty bucket of the same group, found on a table with
-one row per ``(g, bucket)``.  The result equals the global form exactly.
+(say a third of all rows) into one task, so the rows are first cut into
+ranges of ``(g, o...)`` of like size.  LAG runs inside ``(g, range)``; the
+first row of a range takes the last value of the nearest earlier range of
+the same group, found on a table with one row per ``(g, range)`` - at most
+as many rows as there are groups and ranges together, however ids are
+spread.  The result equals the global form exactly.
 """
 
 from __future__ import annotations
@@ -16,14 +17,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.operators.maintenance import materialize
+
+
+def cut_by_range(df: DataFrame, group: str, order: Sequence[Column], out: str) -> DataFrame:
+    """Add ``out``: the number of the row's range when rows are cut by
+    ``(group, order...)`` into ranges of like size, as many as the session has
+    shuffle partitions.  Range borders come from a sample, so the rows are
+    written once with their number: every later reader sees the same cut."""
+    cut = df.repartitionByRange(F.col(group).asc(), *order)
+    return materialize(cut.withColumn(out, F.spark_partition_id()))
+
 
 def lag_within(df: DataFrame, group: str, order: Sequence[Column], value: str, out: str,
                bucket: Column) -> DataFrame:
     """Add ``out`` = previous row's ``value`` within ``group`` in ``order``.
 
-    ``bucket`` must be non-decreasing along ``order`` inside a group (for
-    example ``floor(id / width)``, or a struct that sorts NULL ids last).
-    Rows with a NULL group get NULL, as "NULL = NULL" is not true.
+    ``bucket`` must be non-decreasing along ``order`` inside a group, such as
+    the column that :func:`cut_by_range` adds.  Rows with a NULL group get
+    NULL, as "NULL = NULL" is not true.
     """
     b = df.withColumn("_lag_b", bucket)
     w = Window.partitionBy(group, "_lag_b").orderBy(*order)

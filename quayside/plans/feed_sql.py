@@ -31,11 +31,12 @@ CTE = {
          'PORT' || CAST(o_custkey % 30 AS VARCHAR) AS port1,
          {_PERMIT.format(c='o_custkey')} AS vessel_permit_num,
          CAST(o_orderkey % 9 AS INTEGER) AS trip_activity_type
-  FROM orders WHERE o_orderstatus = 'F')""",
+  FROM orders)""",
     "ivr_trip": f"""ivr_trip AS (
   SELECT CAST(o_orderkey AS DECIMAL(38,0)) AS rsa_tripid, 'CLOSED' AS rsa_trip_status,
          o_orderdate + INTERVAL 2 DAY AS rsa_trip_de,
          CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN '0'
+              WHEN o_orderkey % 29 = 0 THEN '7B2'
               ELSE CAST(o_orderkey * 10 + 10000001 AS VARCHAR) END AS rsa_vtrnbr,
          CASE WHEN o_custkey % 89 <> 0 THEN {_PERMIT.format(c='o_custkey')} END AS vessel_permit_number,
          (['SCALLOP', 'MONKFISH', 'MID-ATLANTIC', 'HERRING'])[CAST(o_custkey % 4 AS INTEGER) + 1] AS rsa_program,
@@ -43,7 +44,7 @@ CTE = {
          'S' || CAST(o_custkey % 40 AS VARCHAR) AS rsa_sfd_project_id,
          o_orderdate AS date_rsa_trip_started,
          CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate + INTERVAL 3 DAY END AS date_rsa_trip_ended
-  FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM'))""",
+  FROM orders)""",
 }
 
 _PROGRAMS = "['SCALLOP', 'MONKFISH', 'MID-ATLANTIC', 'HERRING']"
@@ -54,7 +55,7 @@ CTE.update({
   SELECT CAST(event_id AS DECIMAL(38,0)) AS message_id, 'END' AS form_type,
          CAST(event_id AS DECIMAL(38,0)) AS rsa_efp_hail_id, ts AS time_sent,
          {_PERMIT.format(c='user_id')} AS vessel_permit_number, 'H' || CAST(user_id % 100 AS VARCHAR) AS hull_id,
-         substr(props, 7, length(props) - 7) AS vtr_number,
+         CASE WHEN event_id % 41 = 0 THEN '5X5' ELSE substr(props, 7, length(props) - 7) END AS vtr_number,
          ({_PROGRAMS})[CAST(user_id % 4 AS INTEGER) + 1] AS rsa_program,
          'PC' || CAST(user_id % 40 AS VARCHAR) AS project_code,
          CAST(NULL AS VARCHAR) AS landing_city, CAST(NULL AS VARCHAR) AS landing_state,
@@ -63,11 +64,11 @@ CTE.update({
          'S' || lpad(CAST(event_id % 1000 AS VARCHAR), 3, '0') AS species_code,
          CAST(value AS DECIMAL(18,2)) AS species_kept, CAST(NULL AS DECIMAL(18,2)) AS species_discard,
          CAST(NULL AS VARCHAR) AS herring_area, props AS activity_code
-  FROM {_EVENTS} WHERE event_type = 'purchase')""",
+  FROM {_EVENTS} WHERE event_type IS DISTINCT FROM 'signup')""",
     "vms_start_hail": f"""vms_start_hail AS (
   SELECT CAST(event_id AS DECIMAL(38,0)) AS message_id, CAST(event_id AS DECIMAL(38,0)) AS rsa_efp_start_hail_id,
          ts AS time_sent, {_PERMIT.format(c='user_id')} AS vessel_permit_number, CAST(NULL AS VARCHAR) AS hull_id,
-         substr(props, 7, length(props) - 7) AS vtr_number, 'PC' || CAST(user_id % 40 AS VARCHAR) AS project_code,
+         CASE WHEN event_id % 41 = 0 THEN '5X5' ELSE substr(props, 7, length(props) - 7) END AS vtr_number, 'PC' || CAST(user_id % 40 AS VARCHAR) AS project_code,
          CAST(NULL AS VARCHAR) AS landing_city, CAST(NULL AS VARCHAR) AS landing_state,
          CAST(NULL AS TIMESTAMP) AS estimated_arrival,
          CASE WHEN event_id % 29 = 0 THEN 1 ELSE 0 END AS record_is_deleted, ts AS date_created
@@ -100,17 +101,20 @@ CTE.update({
     "project": f"""project AS (
   SELECT 'PC' || CAST(c_custkey % 40 AS VARCHAR) AS project_code, 'S' || CAST(c_custkey % 40 AS VARCHAR) AS project_number,
          ({_PROGRAMS})[CAST(c_custkey % 40 % 4 AS INTEGER) + 1] AS program,
-         TIMESTAMP '1998-01-01' + to_days(CAST(c_custkey % 40 * 30 AS INTEGER)) AS valid_from,
-         TIMESTAMP '2000-06-01' + to_days(CAST(c_custkey % 40 * 30 AS INTEGER)) AS valid_to
+         CASE WHEN c_custkey % 80 < 40 THEN TIMESTAMP '1998-01-01' ELSE TIMESTAMP '2000-01-01' END
+           + to_days(CAST(c_custkey % 40 * 30 AS INTEGER)) AS valid_from,
+         CASE WHEN c_custkey % 80 < 40 THEN TIMESTAMP '1999-06-01' WHEN c_custkey % 40 % 13 <> 7 THEN TIMESTAMP '2000-12-01' END
+           + to_days(CAST(c_custkey % 40 * 30 AS INTEGER)) AS valid_to
   FROM customer)""",
-    "project_dim": """project_dim AS (SELECT DISTINCT project_code, project_number, program, valid_from, valid_to FROM project)""",
     "permit_category": f"""permit_category AS (
   SELECT {_PERMIT.format(c='o.o_custkey')} AS permit, 'H' || CAST(o.o_custkey % 100 AS VARCHAR) AS hull,
          CAST(160000 + (l.l_partkey % 1000) * 7 AS VARCHAR) AS itis,
-         o.o_orderdate AS valid_from, o.o_orderdate + INTERVAL 365 DAY AS valid_to,
+         o.o_orderdate AS valid_from,
+         CASE WHEN o.o_orderkey % 31 = 0 THEN NULL WHEN o.o_orderkey % 37 = 0 THEN TIMESTAMP '9999-12-31'
+              ELSE o.o_orderdate + INTERVAL 365 DAY END AS valid_to,
          substr(o.o_orderpriority, 1, 1) AS category, 'M' || CAST(l.l_linenumber AS VARCHAR) AS moratorium_code,
          CASE WHEN l.l_linenumber % 2 = 0 THEN 'WEEKLY' ELSE 'MONTHLY' END AS report_frequency
-  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus = 'O')""",
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey)""",
     "serial_doc": """serial_doc AS (
   SELECT CAST(l_orderkey * 10 + l_linenumber + 10000000 AS VARCHAR) AS serial,
          max(CAST(l_orderkey AS DECIMAL(38,0))) AS docid FROM lineitem GROUP BY 1)""",
@@ -129,7 +133,7 @@ CTE.update({
   SELECT CAST(o_orderkey * 10 + 1 AS DECIMAL(38,0)) AS rsa_trip_reportid, CAST(o_orderkey AS DECIMAL(38,0)) AS rsa_tripid,
          CASE WHEN o_orderkey % 17 = 0 THEN 'LEGACY' WHEN o_orderkey % 19 = 0 THEN NULL ELSE 'PRELAND' END AS report_type,
          CAST(NULL AS VARCHAR) AS preland_confirmnbr, CAST(NULL AS TIMESTAMP) AS date_estimated_landing_preland
-  FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM') AND o_orderkey % 23 <> 0)""",
+  FROM orders WHERE o_orderkey % 23 <> 0)""",
     "ivr_landing": f"""ivr_landing AS (
   SELECT {_LINE_ID} AS rsa_trip_landingid, CAST(l_orderkey * 10 + 1 AS DECIMAL(38,0)) AS rsa_trip_reportid,
          {_NESPP3_L} AS nespp3, 'S' || {_NESPP3_L} AS speciesid,
@@ -154,16 +158,18 @@ def _fy_by_calendar(d: str, cal: str) -> str:
 
 
 def _code_list(code: str, where: str) -> str:
-    return f"(SELECT string_agg(DISTINCT pc.{code}, ',' ORDER BY pc.{code}) FROM permit_category pc WHERE {where})"
+    held = "(SELECT * REPLACE (coalesce(valid_to, TIMESTAMP '9999-12-31') AS valid_to) FROM permit_category)"
+    return f"(SELECT string_agg(DISTINCT pc.{code}, ',' ORDER BY pc.{code}) FROM {held} pc WHERE {where})"
 
 
 def _key(*parts: str) -> str:
     return " || '-' || ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts)
 
 
-def _validity(day: str, vf: str, vt: str) -> str:
-    return (f"CASE WHEN ({vf} IS NOT NULL OR {vt} IS NOT NULL) AND {day} IS NOT NULL THEN "
-            f"CASE WHEN CAST({day} AS DATE) BETWEEN CAST({vf} AS DATE) AND CAST({vt} AS DATE) THEN 'Y' ELSE 'N' END END")
+def _validity(day: str, number: str) -> str:
+    windows = f"EXISTS (SELECT 1 FROM project w WHERE w.project_number = {number} AND "
+    return (f"CASE WHEN {windows} CAST({day} AS DATE) BETWEEN CAST(w.valid_from AS DATE) AND CAST(w.valid_to AS DATE)) THEN 'Y' "
+            f"WHEN {day} IS NOT NULL AND {windows} (w.valid_from IS NOT NULL OR w.valid_to IS NOT NULL)) THEN 'N' END")
 
 
 def _whole(s: str) -> str:
@@ -295,10 +301,9 @@ starts AS (
     {_no_id('_docid', 'vtr_number')} AS _dirty
   FROM st),
 u AS (SELECT * FROM ends UNION ALL BY NAME SELECT * FROM starts)
-SELECT u.* EXCLUDE (_dirty), {_validity('u.time_sent', 'p2.valid_from', 'p2.valid_to')} AS project_status_valid
+SELECT u.* EXCLUDE (_dirty), {_validity('u.time_sent', 'p1.project_number')} AS project_status_valid
 FROM u
 LEFT JOIN (SELECT DISTINCT project_code, project_number FROM project) p1 ON p1.project_code = u.project_code
-LEFT JOIN (SELECT DISTINCT project_number, valid_from, valid_to FROM project) p2 ON p2.project_number = p1.project_number
 WHERE NOT u._dirty
 """
 
@@ -322,7 +327,6 @@ t AS (
     END AS vessel_jurisdiction,
     si.itis AS species_itis, sp.plan AS fmm, pc.calendar AS fy_range,
     coalesce(j.speciesid IN {_SKATE_CD}, false) AS skate,
-    pv.valid_from AS pv_from, pv.valid_to AS pv_to,
     CASE WHEN LAG(j.vessel_permit_number, 1) OVER w = j.vessel_permit_number
          THEN LAG(j.rsa_ivr_project_id, 1) OVER w END AS previous_rsa_ivr_project_id
   FROM j
@@ -331,7 +335,6 @@ t AS (
   LEFT JOIN species_itis si ON si.nespp3 = j.nespp3
   LEFT JOIN species_plan sp ON sp.nespp3 = j.nespp3
   LEFT JOIN plan_calendar pc ON pc.plan = sp.plan
-  LEFT JOIN (SELECT DISTINCT project_number, valid_from, valid_to FROM project) pv ON pv.project_number = j.rsa_sfd_project_id
   WINDOW w AS (ORDER BY j.vessel_permit_number ASC NULLS LAST, j.rsa_trip_landingid ASC NULLS LAST,
                j.rsa_tripid ASC, j.rsa_trip_reportid ASC))
 SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'IVR' AS source_data,
@@ -356,7 +359,7 @@ SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'IVR' AS
   CAST(NULL AS DECIMAL(18,2)) AS rsa_trip_landing_totallbs, fy_jan_dec, fy_mar_feb, fy_may_apr, fy_nov_oct,
   CAST(NULL AS VARCHAR) AS rsa_trip_landing_uc, CAST(NULL AS TIMESTAMP) AS rsa_trip_landing_dc,
   date_rsa_trip_started, date_rsa_trip_ended,
-  {_validity('coalesce(date_rsa_trip_ended, date_rsa_trip_started)', 'pv_from', 'pv_to')} AS project_status_valid,
+  {_validity('coalesce(t.date_rsa_trip_ended, t.date_rsa_trip_started)', 't.rsa_sfd_project_id')} AS project_status_valid,
   previous_rsa_ivr_project_id, CAST(NULL AS DECIMAL(38,0)) AS portid,
   date_estimated_landing_preland AS date_estimate_landing_preland,
   CAST(NULL AS TIMESTAMP) AS date_estimate_landing_pretrip,
@@ -409,11 +412,12 @@ _NESPP4_L = "lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || CAST(l_partkey %
 CTE.update({
     "dealer_landing": _conformed("dealer_landing", {
         "docid": "CASE WHEN l_orderkey % 3 <> 1 THEN l_orderkey END", "year": "year(l_shipdate)",
-        "dealnum": "l_suppkey", "permit": _PERMIT.format(c="o_custkey"),
-        "hullnum": "'H' || CAST(o_custkey % 100 AS VARCHAR)", "nespp4": _NESPP4_L, "nespp3": _NESPP3_L,
+        "dealnum": "l_suppkey", "permit": f"CASE WHEN o_custkey % 83 <> 0 THEN {_PERMIT.format(c='o_custkey')} END",
+        "hullnum": "CASE WHEN o_custkey % 71 <> 0 THEN 'H' || CAST(o_custkey % 100 AS VARCHAR) END", "nespp4": _NESPP4_L, "nespp3": _NESPP3_L,
         "spplndlb": "l_quantity", "sppvalue": "l_extendedprice",
         "vtrserno": f"CASE WHEN l_linenumber = 1 THEN '0' WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN 'ABC' "
-                    f"WHEN l_linenumber = 6 AND l_orderkey % 101 = 0 THEN '12A4' ELSE {_SERIAL_L} END",
+                    f"WHEN l_linenumber = 6 AND l_orderkey % 101 = 0 THEN '12A4' "
+                    f"WHEN l_linenumber = 5 AND l_orderkey % 103 = 0 THEN {_SERIAL_L} || '.5' ELSE {_SERIAL_L} END",
         "species_itis": "lpad(CAST(l_partkey AS VARCHAR), 8, '0')",
         "dealer_rpt_id": "l_orderkey + 12345678901234", "landing_seq": _LINE_ID, "ddate": "l_shipdate",
     }, "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
@@ -434,7 +438,7 @@ CTE.update({
         "date_sail": "o_orderdate - INTERVAL 1 DAY", "date_land": "o_orderdate + INTERVAL 6 DAY",
         "tripcatg": "o_orderkey % 4 + 1", "crew": "o_orderkey % 7", "port1": "'PORT' || CAST(o_custkey % 30 AS VARCHAR)",
         "vessel_permit_num": _PERMIT.format(c="o_custkey"), "trip_activity_type": "o_orderkey % 9"},
-        "FROM orders WHERE o_orderstatus = 'F'").replace("document AS (", "document_full AS (", 1),
+        "FROM orders").replace("document AS (", "document_full AS (", 1),
     "stock_area": """stock_area AS (
   SELECT lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3, CAST(p_size % 25 + 500 AS VARCHAR) AS area,
          max('STK' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || '-' || CAST(p_size % 25 + 500 AS VARCHAR)) AS stock_id
@@ -458,7 +462,8 @@ ivr_out AS ({FEED_IVR}),
 vms_out AS ({FEED_VMS}),
 docids AS (SELECT docid FROM ams_out UNION SELECT docid FROM document WHERE tripcatg = 4
            UNION SELECT docid FROM ivr_out UNION SELECT docid FROM vms_out),
-serials AS (SELECT rsa_vtrnbr AS serial FROM ivr_out UNION SELECT vtr_number FROM vms_out),
+named AS (SELECT trim(rsa_vtrnbr) AS serial FROM ivr_out UNION SELECT trim(vtr_number) FROM vms_out),
+serials AS (SELECT serial FROM named WHERE {_serial_ok('serial', False)}),
 reported AS (
   SELECT docid, rsa_vtrnbr AS serial, nespp3, max(rsa_ivr_project_id) AS ivr_project,
          max(rsa_sfd_project_id) AS sfd_project
@@ -489,7 +494,7 @@ q AS (
   SELECT dl.*, ls.catch_source
   FROM dealer_landing dl LEFT JOIN landing_source ls ON ls.landing_seq = dl.landing_seq
   WHERE (dl.docid IN (SELECT DISTINCT docid FROM docids) AND dl.ddate >= {_CUT_730})
-     OR (dl.vtrserno IN (SELECT DISTINCT serial FROM serials) AND dl.ddate >= {_CUT_730})
+     OR (trim(dl.vtrserno) IN (SELECT DISTINCT serial FROM serials) AND dl.ddate >= {_CUT_730})
      OR (ls.catch_source = 'R' AND dl.ddate >= {_CUT_730})),
 e AS (
   SELECT q.*, rs.rsa_spp AS _rsa_spp, rs.program AS _rsa_program,

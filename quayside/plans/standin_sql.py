@@ -270,7 +270,8 @@ WITH v AS (
   WHERE o.o_orderstatus = 'F' GROUP BY c.c_name)
 SELECT o.o_orderkey, o.o_custkey, o.o_orderdate,
   CASE WHEN v.project IS NULL THEN NULL
-       WHEN CAST(o.o_orderdate AS DATE) BETWEEN CAST(v.vf AS DATE) AND CAST(v.vt AS DATE) THEN 'Y'
+       WHEN CAST(o.o_orderdate AS DATE) BETWEEN CAST(v.vf AS DATE) AND CAST(v.vf + INTERVAL 182 DAY AS DATE) THEN 'Y'
+       WHEN CAST(o.o_orderdate AS DATE) BETWEEN CAST(v.vt - INTERVAL 182 DAY AS DATE) AND CAST(v.vt AS DATE) THEN 'Y'
        ELSE 'N' END AS project_status_valid
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN v ON v.project = c.c_name
 """,

@@ -20,15 +20,15 @@ from quayside.context import RunContext
 from quayside.functions import (
     datetime_text, elapsed_days, fishing_year, fishing_year_by_calendar,
     first_candidate, id_col, key_part, lookback, match_key, midpoint, serial_number,
-    strip_leading_zeros, to_id, validity_status,
+    strip_leading_zeros, to_id,
 )
 from quayside.functions.codes import (
     SKATE_ROLLUP, dealer_name_gate, dealer_type, decode, disposition, in_list,
     TRIP_ACTIVITY_TYPE, TRIP_CATEGORY,
 )
 from quayside.operators import (
-    backfill, code_list, dimension, fill_defaults, interval_lookup, lag_within, lookup,
-    membership_flag, ordered_membership, purge, union_by_name,
+    backfill, code_list, cut_by_range, dimension, fill_defaults, interval_lookup, lag_within, lookup,
+    materialize, membership_flag, ordered_membership, purge, union_by_name, validity_flag,
 )
 from quayside.sources import TableSet
 
@@ -51,8 +51,6 @@ STANDIN_TEST_PERMITS = ("11", "55", "88")
 # validity rows, whose two edge pieces then collapse per code).
 MIDPOINT_BUCKET_DAYS = 61
 CODE_LIST_BUCKET_DAYS = 365
-# Id-range width of the sub-groups the skew-safe LAG cuts a group into.
-LAG_BUCKET_WIDTH = 1024
 
 
 def _t(spark: SparkSession, sf_dir: str) -> TableSet:
@@ -131,11 +129,8 @@ def previous_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lid = F.col("landing_id")
     order = [lid.asc_nulls_last(), F.col("ts").asc(), F.col("event_id").asc()]
-    # Sub-group: id range for rows with a landing id; NULL landing ids sort
-    # last and are cut by the next ordering column (day of ts).
-    bucket = F.when(lid.isNotNull(), F.struct(F.lit(0).alias("n"), F.floor(lid / LAG_BUCKET_WIDTH).alias("b"))) \
-        .otherwise(F.struct(F.lit(1).alias("n"), F.unix_date(F.to_date("ts")).cast("long").alias("b")))
-    out = lag_within(base, "permit", order, "event_type", "previous_event_type", bucket)
+    base = cut_by_range(base, "permit", order, "_cut")
+    out = lag_within(base, "permit", order, "event_type", "previous_event_type", F.col("_cut"))
     return out.select("event_id", "permit", "landing_id", "event_type", "previous_event_type")
 
 
@@ -224,6 +219,7 @@ def midpoint_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     rows = li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         *_line_keys(), "o_custkey", midpoint("o_orderdate", "l_shipdate").alias("mid"))
+    rows = materialize(rows)   # the probes and the join back both read the joined rows
     found = interval_lookup(rows, _midpoint_docs(t), {"o_custkey": "permit"}, "mid",
                             "date_sail", "date_land", ["docid"], prefer=[F.col("docid")],
                             bucket_days=MIDPOINT_BUCKET_DAYS)
@@ -469,11 +465,17 @@ def project_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = lookup(o, numbers, {"o_custkey": "c_custkey"}, {"c_name": "_project"})
     f = t.orders.where(F.col("o_orderstatus") == "F").select("o_custkey", "o_orderdate")
     f = lookup(f, numbers, {"o_custkey": "c_custkey"}, {"c_name": "project"})
-    validity = f.groupBy("project").agg(F.min("o_orderdate").alias("valid_from"),
-                                         F.max("o_orderdate").alias("valid_to"))
-    o = lookup(o, validity, {"_project": "project"}, ["valid_from", "valid_to"])
-    return o.select("o_orderkey", "o_custkey", "o_orderdate",
-                    validity_status("o_orderdate", "valid_from", "valid_to").alias("project_status_valid"))
+    # Two windows a project: the half year after its first and the one before
+    # its last order, mostly with a gap between them.
+    span = f.groupBy("project").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    half = F.expr("INTERVAL 182 DAYS")
+    windows = span.select("project", F.explode(F.array(
+        F.struct(F.col("lo").alias("f"), (F.col("lo") + half).alias("t")),
+        F.struct((F.col("hi") - half).alias("f"), F.col("hi").alias("t")))).alias("w"))
+    windows = windows.select("project", F.col("w.f").alias("valid_from"), F.col("w.t").alias("valid_to"))
+    o = validity_flag(o, windows, {"_project": "project"}, F.col("o_orderdate"), "valid_from", "valid_to",
+                      "project_status_valid")
+    return o.select("o_orderkey", "o_custkey", "o_orderdate", "project_status_valid")
 
 
 # --------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quayside.operators import (
-    backfill, code_list, dimension, fill_defaults, interval_lookup, lag_within, lookup,
+    backfill, code_list, dimension, cut_by_range, fill_defaults, interval_lookup, lag_within, lookup,
     membership_flag, ordered_membership, purge, union_by_name,
 )
 
@@ -75,7 +75,7 @@ def test_interval_lookup_matches_brute_force(spark):
     for width in (1, 7, 30):
         got = {(r.permit, r.t): r.docid for r in
                interval_lookup(pdf, sdf, ["permit"], "t", "s", "e", ["docid"], prefer=[F.col("s"), F.col("docid")],
-                               bucket_days=width, max_buckets=8).collect()}
+                               bucket_days=width).collect()}
         for k, t in set(probes):
             hits = [(s, d) for (kk, s, e, d) in spans if kk == k and s <= t <= e]
             want = max(hits)[1] if hits else None
@@ -100,7 +100,7 @@ def test_code_list_matches_brute_force(spark):
         for width in (1, 7, 30):
             got = {(r.permit, r.at): r.lst for r in
                    code_list(pdf, vdf, ["permit"], "at", "f", "t", "code", "lst", end_inclusive=inclusive,
-                             bucket_days=width, max_buckets=8).collect()}
+                             bucket_days=width).collect()}
             for k, at in set(probes):
                 hit = sorted({c for (kk, f, t, c) in rows
                               if kk == k and f <= at and (at <= t if inclusive else at < t)})
@@ -117,9 +117,8 @@ def test_lag_within_equals_global_lag_with_hot_group(spark):
         rows.append((g, lid, i // 3, i, f"p{rng.randrange(50)}"))
     df = spark.createDataFrame(rows, "g string, lid int, trip int, rep int, proj string")
     order = [F.col("lid").asc_nulls_last(), F.col("trip").asc(), F.col("rep").asc()]
-    bucket = F.struct(F.col("lid").isNull().cast("int").alias("n"),
-                      F.floor(F.coalesce(F.col("lid"), F.col("trip")) / 64).alias("b"))
-    got = {r.rep: r.prev for r in lag_within(df, "g", order, "proj", "prev", bucket).collect()}
+    cut = cut_by_range(df, "g", order, "_cut")
+    got = {r.rep: r.prev for r in lag_within(cut, "g", order, "proj", "prev", F.col("_cut")).collect()}
     w = Window.orderBy(F.col("g").asc_nulls_last(), *order)
     ref = df.select("rep", F.when(F.lag("g").over(w) == F.col("g"), F.lag("proj").over(w)).alias("prev"))
     want = {r.rep: r.prev for r in ref.collect()}
@@ -163,8 +162,7 @@ def test_code_lists_share_one_pass(spark):
     vdf = spark.createDataFrame(rows, "permit int, f timestamp_ntz, t timestamp_ntz, c1 string, c2 string")
     pdf = spark.createDataFrame(probes, "permit int, at timestamp_ntz")
     got = {(r.permit, r.at): (r.l1, r.l2) for r in
-           code_lists(pdf, vdf, ["permit"], "at", "f", "t", {"l1": "c1", "l2": "c2"}, bucket_days=30,
-                      max_buckets=10).collect()}
+           code_lists(pdf, vdf, ["permit"], "at", "f", "t", {"l1": "c1", "l2": "c2"}, bucket_days=30).collect()}
     for k, at in set(probes):
         live = [r for r in rows if r[0] == k and r[1] <= at <= r[2]]
         want = tuple(",".join(sorted({r[i] for r in live if r[i] is not None})) or None for i in (3, 4))
@@ -216,3 +214,90 @@ def test_salt_reads_only_the_named_columns(spark, scratch_dir):
     dim = spark.createDataFrame([(1, "x")], "k long, name string")
     plan = lookup(fact, dim, ["k"], ["name"], row_key=["id"]).select("id", "name")._jdf.queryExecution().executedPlan().toString()
     assert "struct<id:bigint,k:bigint>" in plan
+
+
+def _open_spans(hot: int):
+    """One hot permit with many open rows, a NULL end, a NULL start and a row
+    that ends before it starts."""
+    far = dt.datetime(9999, 12, 31)
+    rows = [(0, BASE + dt.timedelta(days=i % 50), far, "C%d" % (i % 3), i) for i in range(hot)]
+    rows += [(1, BASE, None, "N", -1), (1, None, far, "S", -2), (1, BASE + dt.timedelta(days=9), BASE, "R", -3),
+             (1, dt.datetime(1, 1, 1), far, "ALL", -4)]
+    return rows
+
+
+def test_open_ends_and_hot_permit(spark):
+    rows = _open_spans(400)
+    probes = [(k, BASE + dt.timedelta(days=d)) for k in (0, 1, 2) for d in (-40000, -1, 0, 3, 49, 20000)]
+    vdf = spark.createDataFrame(rows, "permit int, f timestamp_ntz, t timestamp_ntz, code string, docid int")
+    pdf = spark.createDataFrame(probes, "permit int, at timestamp_ntz")
+    for null_open in (False, True):
+        for width in (7, 365):
+            got = {(r.permit, r.at): r.lst for r in
+                   code_list(pdf, vdf, ["permit"], "at", "f", "t", "code", "lst", null_end_open=null_open,
+                             bucket_days=width).collect()}
+            for k, at in probes:
+                hit = sorted({c for kk, f, t, c, _ in rows if kk == k and f is not None and f <= at
+                              and (at <= t if t is not None else null_open)})
+                assert got[(k, at)] == (",".join(hit) or None), (null_open, width, k, at)
+    got = {(r.permit, r.at): r.docid for r in
+           interval_lookup(pdf, vdf, ["permit"], "at", "f", "t", ["docid"], prefer=[F.col("f"), F.col("docid")]).collect()}
+    for k, at in probes:
+        hit = [(f, i) for kk, f, t, _, i in rows if kk == k and f is not None and t is not None and f <= at <= t]
+        assert got.get((k, at)) == (max(hit)[1] if hit else None)
+
+
+def test_pieces_of_an_open_span_are_few_and_exact(spark):
+    from quayside.operators.interval import RATIO, _with_pieces
+    far = dt.datetime(9999, 12, 31)
+    df = spark.createDataFrame([(1, dt.datetime(1999, 5, 4, 3), far), (2, BASE, BASE + dt.timedelta(days=7))],
+                               "id int, lo timestamp_ntz, hi timestamp_ntz")
+    got = _with_pieces(df, "lo", "hi", 7).collect()
+    assert sum(r.id == 1 for r in got) < 2 * RATIO * 5
+    for r in df.collect():
+        covered = [(p._b * RATIO ** p._lvl, (p._b + 1) * RATIO ** p._lvl) for p in got if p.id == r.id]
+        covered.sort()
+        assert all(a[1] == b[0] for a, b in zip(covered, covered[1:]))      # no gap, no overlap
+        day = lambda t: (t - dt.datetime(1970, 1, 1)).days // 7
+        assert covered[0][0] == day(r.lo) and covered[-1][1] == day(r.hi - dt.timedelta(microseconds=1)) + 1
+
+
+def test_code_lists_with_a_key_of_one_list_only(spark):
+    from quayside.operators import code_lists
+    rows = [("p", "h1", BASE, BASE + dt.timedelta(days=40), "A", "M1"), ("p", "h2", BASE, BASE + dt.timedelta(days=40), "B", "M2"),
+            ("p", None, BASE, BASE + dt.timedelta(days=40), "C", "M3")]
+    vdf = spark.createDataFrame(rows, "permit string, hull string, f timestamp_ntz, t timestamp_ntz, c string, m string")
+    pdf = spark.createDataFrame([("p", "h1", BASE), ("p", "h2", BASE), ("p", None, BASE), ("q", "h1", BASE)],
+                                "permit string, hullnum string, at timestamp_ntz")
+    got = {(r.permit, r.hullnum): (r.cats, r.mort) for r in code_lists(
+        pdf, vdf, ["permit"], "at", "f", "t", {"cats": "c", "mort": "m"}, also_equal={"mort": ("hullnum", "hull")}).collect()}
+    assert got == {("p", "h1"): ("A,B,C", "M1"), ("p", "h2"): ("A,B,C", "M2"), ("p", None): ("A,B,C", None),
+                   ("q", "h1"): (None, None)}
+
+
+def test_carry_table_stays_small_with_sparse_ids_and_a_hot_permit(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")).alias("g"),
+        (F.xxhash64("id") % 10**15).alias("lid"), F.col("id").cast("string").alias("v"))
+    cut = cut_by_range(df, "g", [F.col("lid").asc()], "_cut")
+    heads = cut.select("g", "_cut").distinct().count()
+    assert heads <= 51 + cut.select("_cut").distinct().count() < 100
+    w = Window.orderBy("g", "lid")
+    want = {r.v: r.prev for r in df.select("v", F.when(F.lag("g").over(w) == F.col("g"), F.lag("v").over(w)).alias("prev")).collect()}
+    got = {r.v: r.prev for r in lag_within(cut, "g", [F.col("lid").asc()], "v", "prev", F.col("_cut")).collect()}
+    assert got == want
+
+
+def test_validity_flag_takes_any_window_on_both_paths(spark):
+    from quayside.operators import validity_flag
+    day = dt.datetime
+    windows = spark.createDataFrame(
+        [("p", day(2020, 1, 1), day(2020, 6, 30, 5)), ("p", day(2023, 1, 1), day(2023, 6, 30)), ("q", day(2020, 1, 1), None),
+         ("r", None, None), (None, day(2020, 1, 1), day(2020, 2, 1))], "k string, f timestamp_ntz, t timestamp_ntz")
+    want = {("p", day(2020, 6, 30, 23)): "Y", ("p", day(2021, 1, 1)): "N", ("p", day(2023, 3, 1)): "Y",
+            ("p", None): None, ("q", day(2020, 3, 1)): "N", ("r", day(2020, 1, 5)): None, (None, day(2020, 1, 5)): None}
+    df = spark.createDataFrame(list(want), "k string, at timestamp_ntz")
+    for small in (True, False):
+        out = validity_flag(df, windows, {"k": "k"}, F.col("at"), "f", "t", "status", small=small)
+        assert out.columns == ["k", "at", "status"]
+        assert {(r.k, r.at): r.status for r in out.collect()} == want, small
