@@ -3,9 +3,12 @@ backfills, deletes by list, appends by name, typed NULL placeholders."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.lookup import lookup
@@ -50,6 +53,27 @@ def typed_nulls(spec: dict) -> list[Column]:
     return [F.lit(None).cast(t).alias(n) for n, t in spec.items()]
 
 
+# Tables that the run in progress has materialized (None: no run).
+_RUN_TABLES: ContextVar = ContextVar("run_tables", default=None)
+
+
+@contextmanager
+def run_tables(spark: SparkSession):
+    """Delete at the end, come what may, the tables that :func:`materialize`
+    writes inside; what the run keeps must be written elsewhere by then."""
+    paths: list[str] = []
+    token = _RUN_TABLES.set(paths)
+    try:
+        yield
+    finally:
+        _RUN_TABLES.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            path = hadoop.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage before a fan-out.
 
@@ -59,13 +83,14 @@ def materialize(df: DataFrame) -> DataFrame:
     session's ``spark.checkpoint.dir`` (a shared folder on a cluster; set
     locally only when unset) and read back: both branches then scan files,
     columnar and compressed, and a lost executor does not replay the
-    upstream joins.
+    upstream joins.  Inside :func:`run_tables` the table goes when the run
+    ends.
     """
-    import uuid
-
     from quayside.context import ensure_checkpoint_dir
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quayside-tables/{uuid.uuid4().hex}"
+    if _RUN_TABLES.get() is not None:
+        _RUN_TABLES.get().append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -12,11 +12,18 @@ from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, base: str, name: str, schema: StructType | None = None) -> DataFrame:
-    """Read ``{base}/{name}.parquet`` (a file or a folder of part files)."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    """Read ``{base}/{name}.parquet`` (a file or a folder of part files).
+
+    With ``schema`` the files must hold all its columns: a renamed or missing
+    column raises here instead of being read as NULL.  Columns that the
+    schema does not name are left out."""
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    if schema is None:
+        return spark.read.parquet(path)
+    missing = [f.name for f in schema.fields if f.name not in set(spark.read.parquet(path).columns)]
+    if missing:
+        raise ValueError(f"{path} lacks declared columns: {', '.join(missing)}")
+    return spark.read.schema(schema).parquet(path)
 
 
 class TableSet:
@@ -54,8 +61,3 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
             c = F.when(c == F.lit(""), F.lit(None).cast("string")).otherwise(c).alias(f.name)
         cols.append(c)
     return df.select(*cols)
-
-
-def read_sources(spark: SparkSession, base: str, names, schemas: dict) -> dict[str, DataFrame]:
-    """Read each named source with its declared schema, blanks normalised."""
-    return {n: blanks_to_null(read_table(spark, base, n, schemas.get(n))) for n in names}

@@ -17,3 +17,14 @@ def test_cli_run_from_parquet(spark, tmp_path):
     assert counts == {"rsa_rtl_ams": 3, "rsa_rtl_dealer": 4, "rsa_rtl_ivr": 4, "rsa_rtl_vms": 3,
                       "rsa_rtl_vessel": 4, "quarantine": 2}
     assert read_published(spark, str(tmp_path / "wh"), "rsa_rtl_vessel").count() == 4
+
+
+def test_a_renamed_source_column_raises(spark, tmp_path):
+    import pytest
+    from quayside.sources.schemas import SOURCES, struct
+    from quayside.sources.tables import read_table
+
+    src, _ = fx.sources(spark)
+    src["images"].withColumnRenamed("serial_num", "serial").write.parquet(str(tmp_path / "images.parquet"))
+    with pytest.raises(ValueError, match="serial_num"):
+        read_table(spark, str(tmp_path), "images", struct(SOURCES["images"]))
