@@ -4,23 +4,26 @@ Tokens of a URL: scheme, the host's suffixes of two and more labels, every
 host label, the words of the host labels, path segments, file ending, query
 names.  Numbers become ``0``.  Labelled URLs are transactions: their tokens
 plus ``=bad`` when the page is labelled low quality or toxic.  Spark's
-FP-growth mines the frequent combinations; rules ``tokens -> =bad`` with enough
+FP-growth mines the combinations frequent among bad URLs, and all URLs are
+counted for them; rules ``tokens -> =bad`` with enough
 support and confidence stay, unless a subset of the tokens is as confident.
 Pages meet the rules through an inverted index: a rule is filed under its
 rarest token, and a page that has this token must have all others.
 
 Fixed rules (host and path prefix, longest first) come before mined ones.
 
-The mining sees at most ``max_items`` tokens a URL, those most often bad, since
-itemsets double with every token; matching sees all.  Defined cases: a null
-url, or one without ``://``, has an empty host and path and is allowed;
+The mining sees all tokens of a URL.  Tokens of exactly the same URLs are mined
+as one and written out again in the rules; what a subset beats for certain is
+not combined.  The rules are those of mining every frequent token.  URLs and
+classes of tokens are told apart by 64-bit hashes.  Defined cases: a null url, or one without ``://``, has an empty host and path and is allowed;
 labels that are null or have no page are ignored, of several labels for a page
-any bad one counts; repeated pages are each judged; without labels no rule is
+any bad one counts; repeated pages are mined once and each judged; without labels no rule is
 mined; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -30,7 +33,6 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import lower_ascii, materialize
 
-BAD = "=bad"
 #: (host, path prefix, verdict)
 FIXED = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -41,7 +43,6 @@ class Mining:
     min_rows: int = 20            # at least so many of them
     min_confidence: float = 0.6   # of a rule, with min_lift
     min_lift: float = 1.5
-    max_items: int = 10           # tokens of a URL that mining sees
 
 
 def host_of(url: Column) -> Column:
@@ -86,38 +87,77 @@ def mine(pages: DataFrame, labels: DataFrame, mining: Mining = Mining()) -> Data
            .agg(F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")))
     seen = materialize(
         pages.where("url is not null").join(bad, F.col("page_id") == F.col("doc_id"))
-        .select("page_id", F.xxhash64("url").alias("u"), tokens_of(F.col("url")).alias("tokens"), "bad"))
-    empty = seen.sparkSession.createDataFrame([], "rule_id bigint, tokens array<string>, confidence double, support double")
-    n = seen.count()
-    if not n:
-        return empty
-    support = max(mining.min_support, mining.min_rows / n)
-    if support > 1:
-        return empty
-    rate = (seen.select(F.explode("tokens").alias("t"), "bad").groupBy("t")
-            .agg(F.count("*").alias("rows"), F.avg("bad").alias("rate"))
-            .where(F.col("rows") >= F.lit(n * support)))
-    ranked = (seen.select("page_id", "u", "bad", F.explode("tokens").alias("t")).join(rate, "t")
-              .groupBy("page_id", "u", "bad")
-              .agg(F.slice(F.sort_array(F.collect_set(F.struct("rate", "rows", "t")), asc=False), 1, mining.max_items).alias("top")))
-    baskets = materialize(ranked.select(F.concat(F.transform("top", lambda x: x["t"]),
-                                     F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array())).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.min_confidence).fit(baskets)
-    found = materialize(
-        model.associationRules.where((F.size("consequent") == 1) & (F.get("consequent", F.lit(0)) == BAD)
-                                     & (F.col("lift") >= mining.min_lift))
-        .select(F.sort_array("antecedent").alias("tokens"), "confidence", "support"))
-    # a rule whose subset is as confident says nothing more: meet subsets under one of their tokens
-    narrow = found.select(F.get("tokens", F.lit(0)).alias("t"), F.col("tokens").alias("sub"), F.col("confidence").alias("c"))
-    wider = found.select("tokens", "confidence", F.explode("tokens").alias("t"))
-    dull = (wider.join(narrow, "t")
-            .where((F.size("sub") < F.size("tokens")) & (F.col("c") >= F.col("confidence"))
-                   & (F.size(F.array_except("sub", "tokens")) == 0))
-            .select("tokens").distinct())
-    rules = found.join(dull, "tokens", "left_anti")
+        .select("page_id", "url", "bad").distinct()
+        .select(F.xxhash64("page_id", "url").alias("u"), tokens_of(F.col("url")).alias("tokens"), "bad"))
+    n, n_bad = seen.agg(F.count("*"), F.sum("bad")).first()
+    least = math.ceil(max(mining.min_support * n, mining.min_rows))
+    if not n_bad or n_bad < least:
+        return seen.sparkSession.createDataFrame([], "rule_id bigint, tokens array<string>, confidence double, support double")
+    # tokens of exactly the same URLs are one class; a token of all URLs adds nothing to any rule
+    each = seen.select("u", "bad", F.explode("tokens").alias("t"))
+    classes = materialize(
+        each.groupBy("t").agg(F.count("*").alias("rows"), F.sum("bad").alias("bad"),
+                              F.bit_xor("u").alias("h"), F.bit_xor(F.xxhash64("u")).alias("g"))
+        .where((F.col("bad") >= least) & (F.col("rows") < n))
+        .groupBy("rows", "bad", "h", "g").agg(F.sort_array(F.collect_list("t")).alias("members"))
+        .select(F.xxhash64(F.get("members", F.lit(0))).alias("id"), F.get("members", F.lit(0)).alias("first"),
+                "members", "rows", "bad"))
+    found = (classes.select(F.array("id").alias("ids"), "rows", "bad")
+             .unionByName(_combinations(each, classes, least))
+             .withColumn("confidence", F.col("bad") / F.col("rows"))
+             .where((F.col("confidence") >= mining.min_confidence)
+                    & (F.col("confidence") * n >= mining.min_lift * n_bad)))
+    found = materialize(found.select("ids", "confidence", (F.col("bad") / n).alias("support")))
+    # a rule whose subset is as confident says nothing more: meet subsets under one of their classes
+    narrow = found.select(F.get("ids", F.lit(0)).alias("id"), F.col("ids").alias("sub"), F.col("confidence").alias("c"))
+    wider = found.select("ids", "confidence", F.explode("ids").alias("id"))
+    dull = (wider.join(narrow, "id")
+            .where((F.size("sub") < F.size("ids")) & (F.col("c") >= F.col("confidence"))
+                   & (F.size(F.array_except("sub", "ids")) == 0))
+            .select("ids").distinct())
+    # back to tokens: a rule for every choice of one member a class
+    named = (found.join(dull, "ids", "left_anti").select("ids", "confidence", "support", F.explode("ids").alias("id"))
+             .join(classes.select("id", "members"), "id").groupBy("ids", "confidence", "support")
+             .agg(F.collect_list("members").alias("groups")))
+    choices = F.aggregate("groups", F.array(F.array().cast("array<string>")), lambda done, members: F.flatten(
+        F.transform(done, lambda d: F.transform(members, lambda t: F.concat(d, F.array(t))))))
+    rules = named.select(F.explode(choices).alias("tokens"), "confidence", "support").withColumn("tokens", F.sort_array("tokens"))
     return materialize(rules.select(F.xxhash64("tokens").alias("rule_id"), "tokens", "confidence", "support"))
 
 
+def _combinations(each: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """(ids, rows, bad) of the combinations of classes with ``least`` bad URLs.
+
+    Left out are only those that a subset beats for certain: with a class whose
+    URLs are all bad, or with one that the combination's rarest implies.
+    FP-growth runs over the bad URLs, a basket for each class of a URL with the
+    more frequent ones beside it; all URLs are counted again afterwards.
+    """
+    some = classes.where(F.col("bad") < F.col("rows"))
+    baskets = materialize(
+        each.join(some.select(F.col("first").alias("t"), "id", "rows"), "t").groupBy("u", "bad")
+        .agg(F.sort_array(F.collect_list(F.struct("rows", "id"))).alias("items"))
+        .select("bad", F.transform("items", lambda x: x["id"]).alias("items")).where(F.size("items") > 1))
+    first = baskets.select("bad", "items", F.posexplode("items").alias("i", "id"))
+    first = first.select("bad", "items", "id", F.expr("slice(items, i + 2, size(items))").alias("after"))
+    pairs = (first.select("bad", "id", F.explode("after").alias("other")).groupBy("id", "other")
+             .agg(F.count("*").alias("both"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)
+             .join(some.select("id", "rows"), "id").where(F.col("both") < F.col("rows")))
+    beside = materialize(pairs.groupBy("id").agg(F.collect_list("other").alias("others")))
+    dealt = materialize(
+        first.where("bad = 1").join(beside, "id").select("id", F.array_intersect("after", "others").alias("y")).where(F.size("y") > 0)
+        .select(F.transform("y", lambda y: F.concat_ws(" ", "id", y)).alias("items")))
+    n = dealt.count()
+    if not n:
+        return classes.select(F.array("id").alias("ids"), "rows", "bad").limit(0)
+    sets = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n).fit(dealt).freqItemsets
+    rarest = F.substring_index(F.get("items", F.lit(0)), " ", 1).cast("long")
+    sets = materialize(sets.select(rarest.alias("id"), F.sort_array(F.concat(F.array(rarest), F.transform(
+        "items", lambda x: F.substring_index(x, " ", -1).cast("long")))).alias("ids")))
+    return (first.join(sets, "id").where(F.size(F.array_except("ids", "items")) == 0)
+            .groupBy("ids").agg(F.count("*").alias("rows"), F.sum("bad").alias("bad")))
+
+
 def inverted_index(rules: DataFrame) -> DataFrame:
     """(token, rule_id, tokens, confidence): every rule under the token that
     fewest rules hold."""

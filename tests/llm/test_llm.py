@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -123,6 +124,33 @@ def test_url_rules(spark):
     assert url_rules.judge(pages.limit(0), rules).count() == 0
 
 
+def test_url_rules_mine_every_token(spark):
+    rng = random.Random(8)
+    names, rows = ["red", "blue", "tin", "oak", "elm", "fir"], []
+    for i in range(400):
+        host, path = rng.choice(names), [rng.choice(names) for _ in range(2)]
+        name = ".".join("-".join(host + x for x in part) for part in ("ab", "cdef"))   # one host, ten tokens
+        url = f"http{'s' * rng.randrange(2)}://{name}.example.org/top/{'/'.join(path)}/p{i}.html?ref={i}&x=1"
+        both = host == "tin" and "oak" in path   # each alone is no rule
+        rows.append((i, url, int(not (both or rng.random() < 0.15))))
+    pages = spark.createDataFrame([r[:2] for r in rows] + [rows[0][:2]] * 3, "page_id long, url string")
+    labels = spark.createDataFrame([(i, good, 0) for i, _, good in rows], "doc_id long, quality int, toxic int")
+    mining = url_rules.Mining(min_support=0.0, min_rows=12)
+    got = {tuple(r.tokens): (round(r.confidence, 9), round(r.support, 9)) for r in url_rules.mine(pages, labels, mining).collect()}
+    have = {r.page_id: frozenset(r.t) for r in pages.select("page_id", url_rules.tokens_of(pages.url).alias("t")).collect()}
+    bad = [have[i] for i, _, good in rows if not good]
+    often = {t for t, k in Counter(t for b in bad for t in b).items() if k >= 12 and any(t not in h for h in have.values())}
+    times = Counter(frozenset(c) for b in bad for k in range(1, len(b & often) + 1) for c in combinations(b & often, k))
+    sets = [s for s, k in times.items() if k >= 12]   # all frequent combinations, whatever they hold
+    share = {s: (k := sum(s <= b for b in bad), k / sum(s <= h for h in have.values())) for s in sets}
+    found = {s: v for s, v in share.items() if v[1] >= 0.6 and v[1] >= 1.5 * len(bad) / len(rows)}
+    want = {tuple(sorted(s)): (round(c, 9), round(k / len(rows), 9)) for s, (k, c) in found.items()
+            if not any(o < s and found[o][1] >= c for o in found)}
+    assert max(len(h & often) for h in have.values()) > 10
+    assert got == want
+    assert ("p:oak", "w:tina") in got and not {("w:tina",), ("p:oak",)} & set(got)
+
+
 def test_token_counts(docs, empty):
     counter = token_counts.counter(PIECE)
     got = sorted_rows(token_counts.count_tokens(docs, PIECE, limit=100), "doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
