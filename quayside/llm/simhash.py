@@ -17,6 +17,8 @@ written edge tables.
 Defined cases: null text is empty; a text without words has fingerprint zero
 and is linked like any other; a null doc_id is never a component's smallest
 unless all are null; repeated rows each appear; other columns are ignored.
+Of each group one row stays, whatever ids it has; rows are told apart by their
+doc_id and a 64-bit hash of all columns.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed long."""
+    """doc_id, ``fp``, the fingerprint as a signed long, and ``row``, a hash of the whole row."""
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -69,9 +71,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(at, DOCS_AT_ONCE)
                 fps = np.array([fingerprint(t.as_py(), shingle) for t in part.column(1)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), part.column(2)], names=["doc_id", "fp", "row"])
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(hashed, f"doc_id {kind}, fp long")
+    return (docs.select("doc_id", text_of().alias("text"), F.xxhash64(F.struct("*")).alias("row"))
+            .mapInArrow(hashed, f"doc_id {kind}, fp long, row long"))
 
 
 def _sets(max_bits: int) -> np.ndarray:
@@ -201,13 +204,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id of every row."""
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`fingerprints`, and (fp, least, root) of every fingerprint."""
     rows = materialize(fingerprints(docs, shingle))
     groups = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(groups, max_bits))
     rooted = groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted)
+    return rows, materialize(rooted)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id of every row."""
+    rows, rooted = _grouped(docs, shingle, max_bits)
     low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(low, "root").select(F.col("fp").alias("f"), "component_id")
     return (rows.join(named, F.col("fp") == F.col("f"))
@@ -215,9 +223,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each group (its smallest doc_id), with the columns of ``docs``."""
-    stay = (near_duplicates(docs, shingle, max_bits).groupBy("component_id").agg(F.lit(1)).select(F.col("component_id").alias("c")))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"))
-    first = Window.partitionBy("d").orderBy(F.xxhash64("row"))
-    return (rows.join(stay, F.col("d").eqNullSafe(F.col("c"))).withColumn("i", F.row_number().over(first))
-            .where("i = 1").select("row.*"))
+    """One document of each group (its smallest doc_id), with the columns of ``docs``.
+
+    A group is told by its root fingerprint, as doc_ids may be null or repeat.
+    """
+    rows, rooted = _grouped(docs, shingle, max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "row"))
+    each = rows.groupBy("fp").agg(first.alias("low")).join(rooted.select(F.col("fp").alias("f"), "root"), F.col("fp") == F.col("f"))
+    stay = each.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.doc_id").alias("c"), F.col("low.row").alias("r"))
+    same = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.xxhash64(F.struct("*")).alias("h"))
+    copies = Window.partitionBy("d", "h").orderBy("h")
+    return (same.join(stay, F.col("d").eqNullSafe(F.col("c")) & (F.col("h") == F.col("r")))
+            .withColumn("i", F.row_number().over(copies)).where("i = 1").select("row.*"))

@@ -274,6 +274,21 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == simhash.representatives(empty).count() == 0
 
 
+def test_representatives_of_null_and_repeated_ids(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(9)]
+    ids = [None, None, None, 4, 4, 6, 6, 8, None]   # unlike texts
+    rows = [*zip(ids, texts, strict=True)] + [(None, texts[1].upper()), (7, texts[6]), (4, texts[3]), (5, texts[5]), (9, texts[8])]
+    fps = [fingerprint(t) for _, t in rows]
+    assert min((a ^ b).bit_count() for a, b in combinations(set(fps), 2)) > 4
+    stay = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want = {}
+    for (i, t), f in zip(rows, fps, strict=True):   # by group the smallest id, null last
+        want[f] = min(want.get(f, (True, 0)), (i is None, i or 0))
+    got = [(fingerprint(t), (i is None, i or 0)) for i, t in stay.collect()]
+    assert sorted(got) == sorted(want.items())
+
+
 def test_simhash_links_long_lists(spark):
     rng = random.Random(3)
     centres = [rng.getrandbits(64) for _ in range(3)]
