@@ -39,8 +39,8 @@ FIXED = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 
 @dataclass(frozen=True)
 class Mining:
-    min_support: float = 0.002    # of the labelled URLs, but
-    min_rows: int = 20            # at least so many of them
+    min_rows: int = 20            # bad URLs that a rule needs, however many are labelled
+    min_support: float = 0.0      # and this share of the labelled URLs, if any
     min_confidence: float = 0.6   # of a rule, with min_lift
     min_lift: float = 1.5
 

@@ -151,6 +151,13 @@ def test_url_rules_mine_every_token(spark):
     assert ("p:oak", "w:tina") in got and not {("w:tina",), ("p:oak",)} & set(got)
 
 
+def test_url_rules_of_a_small_host_among_many(spark):
+    n = 12_000
+    pages = spark.range(n).selectExpr("id AS page_id", "concat('http://', if(id < 22, 'few-bad', concat('h', id % 900)), '.org/', id) AS url")
+    labels = spark.range(n).selectExpr("id AS doc_id", "if(id < 22, 0, 1) AS quality", "0 AS toxic")
+    assert ["l:few-bad"] in [r.tokens for r in url_rules.mine(pages, labels).collect()]
+
+
 def test_token_counts(docs, empty):
     counter = token_counts.counter(PIECE)
     got = sorted_rows(token_counts.count_tokens(docs, PIECE, limit=100), "doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
