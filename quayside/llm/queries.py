@@ -6,13 +6,15 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.context import ensure_checkpoint_dir
 from quayside.llm import (
-    exact_dedup, line_quality, mixing, packing, simhash, suffix_dedup, token_counts, token_files, url_rules, word_windows,
+    conversation_trie, exact_dedup, line_quality, mixing, packing, parity_join, periodic_runs, simhash, suffix_dedup, token_counts, token_files,
+    url_rules, word_windows,
 )
-from quayside.llm.common import documents
+from quayside.llm.common import documents, let, text_of, words
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -62,6 +64,50 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def _crc32(number: Column) -> Column:
+    return F.crc32(number.cast("string").cast("binary"))
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    nodes = conversation_trie.trie(conversations, lambda c: (c - c % 100, _crc32(c) % 6), longest=5)
+    return nodes.withColumnRenamed("saved", "saved_tokens")
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """Documents, a tenth of them with the contract's loop from word ``a`` on.
+    A row without doc_id has no loop."""
+    h = _crc32(F.col("doc_id"))
+    g = F.floor(h / 10)
+
+    def loop(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % n
+        at = F.struct(a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))
+        each = let(at, lambda s: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
+            w, F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % s["p"]).cast("int"))))
+        return F.when(n > 0, F.array_join(each, " ")).otherwise(F.lit(""))
+
+    text = text_of()
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words(text), loop)).otherwise(text).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse(looped(documents(spark, sf_dir)))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    best = F.reduce("runs", none, lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_line_quality": op1_line_quality,
     "op2_url_rules": op2_url_rules,
@@ -73,6 +119,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack": op10_pack,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }
 
 _BLANK = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -153,5 +202,62 @@ WITH d AS (
          row_number() OVER (PARTITION BY h, doc_id) AS i FROM d
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND i = 1 AS kept, h AS text_sha256 FROM g
+""",
+    "op11_conversation_trie": """
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha) AS i, sha, chars
+  FROM (SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sha
+        FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, count(*) AS own, c - c % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda a, x: list_reduce(list_prepend(xor(a, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+               lambda b, z: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384::BIGINT) ELSE b >> 1 END)), 4294967295::BIGINT) % 6 AS h
+  FROM t GROUP BY c
+), v AS (
+  SELECT x.*, least(x.h, coalesce(b.own, 0)) AS m FROM convs x LEFT JOIN convs b ON b.c = x.base
+), rebuilt AS (
+  SELECT v.c, i AS d, sha, chars FROM v JOIN t ON t.c = v.base AND i <= v.h
+  UNION ALL
+  SELECT v.c, i - h + m, sha, chars FROM v JOIN t ON t.c = v.c AND i > v.h
+), paths AS (
+  SELECT c, d, chars, string_agg(sha, '') OVER (PARTITION BY c ORDER BY d) AS k FROM rebuilt
+  UNION ALL
+  SELECT c, 0, 0, '' FROM v
+), sizes AS (SELECT c, max(d) AS n FROM paths GROUP BY c
+), nodes AS (
+  SELECT k, d, max(chars) AS chars, min(c) AS conv_id, count(*) AS n_convs, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = n) AS ends
+  FROM paths JOIN sizes USING (c) GROUP BY k, d
+), kids AS (SELECT substr(k, 1, 64 * (d - 1)) AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), w AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)
+), sums AS (
+  SELECT a.k, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * w.chars)::BIGINT AS saved_tokens
+  FROM w JOIN paths a ON a.c = w.conv_id AND a.d <= w.d GROUP BY a.k
+)
+SELECT w.conv_id, w.d::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN sums USING (k) LEFT JOIN w p ON w.d > 0 AND p.k = substr(w.k, 1, 64 * (w.d - 1))
+""",
+    "op13_ngram_jaccard": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT rid, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] || ' ' || ws[i+3] AS g
+  FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 4)
+  UNION ALL
+  SELECT rid, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 3
+), n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid
+), pairs AS (SELECT a.rid AS x, b.rid AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(x, y) AS (SELECT rid, rid FROM d UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n USING (rid) JOIN reach ON reach.x = d.rid JOIN d o ON o.rid = reach.y GROUP BY d.rid, d.doc_id
 """,
 }
