@@ -27,6 +27,7 @@ def main(argv=None) -> dict:
     ap.add_argument("--run-seq", type=int, required=True)
     ap.add_argument("--as-of", default=None, help="ISO timestamp; default: now (UTC), read once")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--by-year", action="store_true", help="store each target by the year of its window date")
     args = ap.parse_args(argv)
 
     as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else \
@@ -34,7 +35,7 @@ def main(argv=None) -> dict:
     spark = build_session(args.master)
     src = {n: read_table(spark, args.sources, n, struct(d)) for n, d in SOURCES.items()}
     dims = {n: read_table(spark, args.dimensions, n, struct(d)) for n, d in DIMENSIONS.items()}
-    result = job.run(spark, RunContext(args.run_seq, as_of), src, dims, args.warehouse)
+    result = job.run(spark, RunContext(args.run_seq, as_of), src, dims, args.warehouse, by_year=args.by_year)
     print(json.dumps({"run_seq": args.run_seq, "as_of": as_of.isoformat(), "rows": result.counts}))
     return result.counts
 

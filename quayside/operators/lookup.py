@@ -26,6 +26,12 @@ DEFAULT_BROADCAST_ROWS = 200_000
 # all of them to one task.
 NULL_KEY_SPREAD = 512
 
+# Tasks over which the fact rows of one heavy key are spread, and how often
+# the dimension's row of such a key is copied.
+HOT_KEY_SPREAD = 128
+# A key is heavy from half a task's fair share of the rows on.
+HOT_PER_TASK = 2
+
 
 def dimension(df: DataFrame, keys: Sequence[str], values: Sequence[str],
               prefer: Sequence[Column] | None = None) -> DataFrame:
@@ -47,6 +53,39 @@ def dimension(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     return best.select(*keys, *[F.col(f"_best.{v}").alias(v) for v in values])
 
 
+def conflicts(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """What :func:`dimension` had to choose from: every distinct value tuple of the
+    keys that have several, with the number of them (``candidates``), the rows
+    that say so (``rows``) and whether it is the one picked (``picked``).
+    NULL values are values; rows with a NULL key part never match and are left
+    out.  Rows are first reduced to distinct tuples, so a key with any number
+    of rows costs one row per value."""
+    keys, values = list(keys), list(values)
+    each = df.where(_and([F.col(k).isNotNull() for k in keys])).groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("rows"))
+    value = F.struct(*values)
+    per_key = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("candidates"), F.max(value).alias("_top")).where("candidates > 1")
+    per_key = per_key.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "candidates", "_top")
+    joined = each.join(per_key, _and([F.col(k) == F.col(f"_c_{k}") for k in keys]))
+    return joined.select(*keys, *values, "candidates", "rows", value.eqNullSafe(F.col("_top")).alias("picked"))
+
+
+def difference(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """How a table unique on ``keys`` differs from its last state: how many keys
+    are ``new``, ``changed`` (another 64-bit hash of the row) and ``gone``.  One
+    full join of keys and hashes; three numbers come to the driver."""
+    keys = list(keys)
+    columns = sorted(new.columns)
+    if sorted(old.columns) != columns or {f.name: f.dataType for f in old.schema} != {f.name: f.dataType for f in new.schema}:
+        return {"new": new.count(), "changed": 0, "gone": old.count()}
+
+    def hashed(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], F.xxhash64(*columns).alias(f"{tag}_hash"))
+    both = hashed(old, "o").join(hashed(new, "n"), _and([F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}")) for k in keys]), "full")
+    n = both.agg(F.count(F.when(F.col("o_hash").isNull(), 1)).alias("new"), F.count(F.when(F.col("n_hash").isNull(), 1)).alias("gone"),
+                 F.count(F.when(F.col("o_hash") != F.col("n_hash"), 1)).alias("changed")).first()
+    return {k: int(n[k]) for k in ("new", "changed", "gone")}
+
+
 # Exact row counts per dimension object; weakly keyed, so a dimension that is
 # no longer used drops out and an id can never be mistaken for another.  A
 # count holds as long as the files behind the object do; a run builds its
@@ -81,17 +120,49 @@ def prove_small(dims: Sequence[DataFrame]) -> None:
         _SIZE_PROOFS[d] = counts.get(i, 0)
 
 
+def row_count(dim: DataFrame) -> int:
+    """Exact rows of a dimension, counted once per object."""
+    prove_small([dim])
+    return _SIZE_PROOFS[dim]
+
+
+def heavy_hitters(df: DataFrame, *keys: Sequence[str], tasks: int | None = None) -> list[list[int]]:
+    """For each key (a list of columns) the hashes of its heavy values: all that
+    hold at least one row in ``HOT_PER_TASK * tasks``, perhaps a few others.
+
+    One pass over the key columns for all keys, with Spark's frequent-items
+    aggregate, whose state is as bounded as its result: at most
+    ``HOT_PER_TASK * tasks`` numbers a key come to the driver, whatever the
+    size of the table.  ``tasks`` defaults to the session's shuffle
+    partitions.  NULL keys are not counted (they are spread anyway)."""
+    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1.0 / (HOT_PER_TASK * n), 1e-4)
+    hashed = df.select(*[F.when(_and([F.col(c).isNotNull() for c in k]), _key_hash([F.col(c) for c in k], [df.schema[c].dataType for c in k]))
+                         .alias(f"h{i}") for i, k in enumerate(keys)])
+    found = hashed.freqItems([f"h{i}" for i in range(len(keys))], share).first()
+    return [sorted(h for h in found[i] or [] if h is not None) for i in range(len(keys))]
+
+
+def _key_hash(cols: Sequence[Column], types: Sequence[T.DataType]) -> Column:
+    """Hash of a key, the same whichever integer type holds it."""
+    return F.xxhash64(*[c.cast("decimal(38,0)") if isinstance(t, _INTEGRAL) or isinstance(t, T.DecimalType) and not t.scale else c
+                        for c, t in zip(cols, types)])
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
            cols: Sequence[str] | dict | None = None, *, small: bool = False,
            max_rows: int = DEFAULT_BROADCAST_ROWS, spread_null_keys: bool = True,
-           row_key: Sequence[str] | None = None) -> DataFrame:
+           row_key: Sequence[str] | None = None, hot: Sequence[int] = ()) -> DataFrame:
     """Left-join ``dim`` (unique on its key) onto ``df`` and add ``cols``.
 
     ``on`` maps fact column -> dimension column (a list means same names).
     ``cols`` maps dimension column -> output name.  ``small=True`` asks for a
     broadcast, granted only if :func:`broadcast_if_small` proves the size.
     Shuffled joins spread NULL-key fact rows over many tasks by a hash of
-    ``row_key``, columns that tell the fact rows apart.
+    ``row_key``, columns that tell the fact rows apart (all columns if not
+    named).  ``hot`` names heavy keys by their hashes (:func:`heavy_hitters`):
+    their fact rows are spread alike, and the dimension's row of such a key
+    is copied to each of the tasks.
     """
     pairs = list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
     dim_keys = [d for _, d in pairs]
@@ -126,13 +197,23 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict,
         # names it, which lets the scan skip the rest); a retried task deals
         # its rows out as before.
         any_null = _or([F.col(f).isNull() for f, _ in pairs])
-        salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in row_key or df.columns]),
-                                       F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0)).cast("int")
+        row_hash = F.xxhash64(*[F.col(c) for c in row_key or df.columns])
+        salt = F.when(any_null, F.pmod(row_hash, F.lit(NULL_KEY_SPREAD)))
+        copies = F.array(F.lit(0))
+        if hot:
+            fact_hash = _key_hash([F.col(f) for f, _ in pairs], [df.schema[f].dataType for f, _ in pairs])
+            dim_hash = _key_hash([F.col(f"{tag}_k{i}") for i in range(len(pairs))], types)
+            salt = salt.when(fact_hash.isin(list(hot)), F.pmod(row_hash, F.lit(HOT_KEY_SPREAD)))
+            copies = F.when(dim_hash.isin(list(hot)), F.sequence(F.lit(0), F.lit(HOT_KEY_SPREAD - 1))).otherwise(copies)
+        salt = salt.otherwise(F.lit(0)).cast("int")
         left_key = F.struct(*[F.col(f).cast(t).alias(f"k{i}") for i, ((f, _), t) in enumerate(zip(pairs, types))],
                             salt.alias("s"))
         left = df.withColumn(f"{tag}_lkey", left_key)
+        if hot:
+            right = right.withColumn(f"{tag}_s", F.explode(copies))
         right = right.withColumn(f"{tag}_rkey", F.struct(
-            *[F.col(f"{tag}_k{i}").cast(t).alias(f"k{i}") for i, t in enumerate(types)], F.lit(0).alias("s")))
+            *[F.col(f"{tag}_k{i}").cast(t).alias(f"k{i}") for i, t in enumerate(types)],
+            (F.col(f"{tag}_s") if hot else F.lit(0)).alias("s")))
         joined = left.join(right, on=F.col(f"{tag}_lkey") == F.col(f"{tag}_rkey"), how="left")
     else:
         joined = df.join(right, on=_and(cond), how="left")

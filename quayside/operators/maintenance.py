@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.lookup import lookup
+from quayside.operators.lookup import dimension, lookup
 
 
 def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
@@ -34,6 +35,67 @@ def backfill(df: DataFrame, dim: DataFrame, on: dict, targets: dict, guard: str,
     return joined.drop(*tmp.values())
 
 
+@dataclass(frozen=True)
+class Rank:
+    """One way to match a row with a candidate: equal ``keys`` (row column ->
+    candidate column).  ``row_lacks`` / ``candidate_lacks`` name a column that
+    must be NULL on that side; ``label`` says afterwards that this way matched."""
+    label: str
+    keys: dict
+    row_lacks: str | None = None
+    candidate_lacks: str | None = None
+
+
+def ranked_lookup(df: DataFrame, candidates: DataFrame, ranks: Sequence[Rank], values: Sequence[str], label: str = "matched_by") -> DataFrame:
+    """The distinct key tuples of ``df`` that some rank matches, with ``values`` and
+    ``label`` of the first rank that does.
+
+    All ranks are answered in one join: candidates are stacked as one row per
+    (rank, key), the greatest value tuple of a key winning, and each distinct
+    key tuple of ``df`` asks once per rank it qualifies for.  Columns are the
+    key columns of ``df`` (NULLs kept), the values and the label."""
+    columns = list(dict.fromkeys(c for r in ranks for c in [*r.keys, *([r.row_lacks] if r.row_lacks else [])]))
+    width = max(len(r.keys) for r in ranks)
+
+    def slots(names: Sequence[str]) -> list[Column]:
+        return [F.col(n).cast("string").alias(f"_k{i}") for i, n in enumerate(names)] + [
+            F.lit("").alias(f"_k{i}") for i in range(len(names), width)]
+
+    def usable(names: Sequence[str], lacks: str | None) -> Column:
+        out = F.col(lacks).isNull() if lacks else F.lit(True)
+        for n in names:
+            out = out & F.col(n).isNotNull()
+        return out
+
+    keys = [f"_k{i}" for i in range(width)]
+    offered = F.explode(F.array_compact(F.array(*[F.when(usable(list(r.keys.values()), r.candidate_lacks), F.struct(
+        F.lit(i).alias("_rank"), *slots(list(r.keys.values())))) for i, r in enumerate(ranks)])))
+    offer = dimension(candidates.select(offered.alias("_o"), *values).select("_o.*", *values), ["_rank", *keys], list(values))
+    asked = F.explode(F.array_compact(F.array(*[F.when(usable(list(r.keys), r.row_lacks), F.struct(
+        F.lit(i).alias("_rank"), *slots(list(r.keys)))) for i, r in enumerate(ranks)])))
+    rows = df.select(*columns).distinct().select(*columns, asked.alias("_a")).select(*columns, "_a.*")
+    best = rows.join(offer, ["_rank", *keys]).groupBy(*columns).agg(F.min_by(F.struct("_rank", *values), "_rank").alias("_best"))
+    name = F.element_at(F.array(*[F.lit(r.label) for r in ranks]), F.col("_best._rank") + 1)
+    return best.select(*columns, *[F.col(f"_best.{v}").alias(v) for v in values], name.alias(label))
+
+
+def ranked_backfill(df: DataFrame, candidates: DataFrame, ranks: Sequence[Rank], targets: dict, guard: str,
+                    label: str | None = None) -> DataFrame:
+    """:func:`backfill` whose dimension is the first rank that matches: targets
+    that are NULL are filled where ``guard`` is not NULL.  ``label`` adds the
+    matching rank's name."""
+    found = ranked_lookup(df.where(F.col(guard).isNotNull()), candidates, ranks, list(dict.fromkeys(targets.values())), "_bf_label")
+    columns = [c for c in found.columns if c in df.columns and c not in targets]
+    found = found.select(*[F.col(c).alias(f"_bf_k_{c}") for c in columns], *[F.col(d).alias(f"_bf_{t}") for t, d in targets.items()], "_bf_label")
+    same = F.col(guard).isNotNull()
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_bf_k_{c}"))
+    joined = df.join(found, same, "left")
+    filled = {t: F.when(F.col(t).isNull(), F.col(f"_bf_{t}")).otherwise(F.col(t)).cast(df.schema[t].dataType) for t in targets}
+    extra = [F.col("_bf_label").alias(label)] if label else []
+    return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns], *extra)
+
+
 def purge(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """``DELETE WHERE col IN (values)``: rows with a NULL ``col`` stay."""
     return df.where(~F.coalesce(F.col(col).isin(list(values)), F.lit(False)))

@@ -454,6 +454,25 @@ CTE.update({
 })
 
 
+def _reported(name: str, keys: str, where: str) -> str:
+    """The greatest report per key."""
+    return f"""{name} AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ivr_project DESC NULLS LAST, sfd_project DESC NULLS LAST) AS n
+                 FROM phoned WHERE {where}) WHERE n = 1)"""
+
+
+def _reported_joins(serial: str) -> str:
+    """Document, serial and species; else a report, else a row without document."""
+    same = f"serial = nullif(trim({serial}), '') AND {{r}}.nespp3 = e.nespp3"
+    return (f"LEFT JOIN reported1 r1 ON r1.docid = e.docid AND r1.{same.format(r='r1')}\n"
+            f"LEFT JOIN reported2 r2 ON r2.{same.format(r='r2')}\n"
+            f"LEFT JOIN reported3 r3 ON e.docid IS NULL AND r3.{same.format(r='r3')}")
+
+
+def _reported_id(column: str) -> str:
+    return f"CASE WHEN r1.n = 1 THEN r1.{column} WHEN r2.n = 1 THEN r2.{column} WHEN r3.n = 1 THEN r3.{column} END"
+
+
 def _upstream_ctes() -> str:
     """AMS, IVR and VMS outputs as nested statements, plus the trip sets and
     the reported-project lookup the dealer and vessel feeds read."""
@@ -464,13 +483,13 @@ docids AS (SELECT docid FROM ams_out UNION SELECT docid FROM document WHERE trip
            UNION SELECT docid FROM ivr_out UNION SELECT docid FROM vms_out),
 named AS (SELECT trim(rsa_vtrnbr) AS serial FROM ivr_out UNION SELECT trim(vtr_number) FROM vms_out),
 serials AS (SELECT serial FROM named WHERE {_serial_ok('serial', False)}),
-reported AS (
-  SELECT docid, rsa_vtrnbr AS serial, nespp3, max(rsa_ivr_project_id) AS ivr_project,
-         max(rsa_sfd_project_id) AS sfd_project
+phoned AS (
+  SELECT docid, trim(rsa_vtrnbr) AS serial, nespp3, rsa_ivr_project_id AS ivr_project, rsa_sfd_project_id AS sfd_project
   FROM ivr_out
-  WHERE docid IS NOT NULL AND rsa_vtrnbr IS NOT NULL AND nespp3 IS NOT NULL
-    AND (rsa_ivr_project_id IS NOT NULL OR rsa_sfd_project_id IS NOT NULL)
-  GROUP BY 1, 2, 3),
+  WHERE rsa_vtrnbr IS NOT NULL AND nespp3 IS NOT NULL AND (rsa_ivr_project_id IS NOT NULL OR rsa_sfd_project_id IS NOT NULL)),
+{_reported('reported1', 'docid, serial, nespp3', 'docid IS NOT NULL')},
+{_reported('reported2', 'serial, nespp3', 'docid IS NULL')},
+{_reported('reported3', 'serial, nespp3', 'true')},
 """
 
 _CUT_730 = "TIMESTAMP '1999-08-02'"   # day(2001-08-01) - 730 days
@@ -529,10 +548,10 @@ SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'DEALER'
        ELSE TRY_CAST(concat(CAST(e.dealer_rpt_id AS VARCHAR), e.permit) AS DECIMAL(38,0)) END AS rtl_trip_id,
   CASE WHEN e.docid IS NOT NULL THEN 'DOCID' WHEN {_serial_ok('e.vtrserno', True)} THEN 'VTRSERNO'
        ELSE 'DEALER_RPT_ID-PERMIT' END AS rtl_trip_id_source,
-  CASE WHEN e.vtrserno IS NOT NULL THEN r.ivr_project END AS rsa_ivr_project_id,
-  CASE WHEN e.vtrserno IS NOT NULL THEN r.sfd_project END AS rsa_sfd_project_id
+  {_reported_id('ivr_project')} AS rsa_ivr_project_id,
+  {_reported_id('sfd_project')} AS rsa_sfd_project_id
 FROM e
-LEFT JOIN reported r ON r.docid = e.docid AND r.serial = e.vtrserno AND r.nespp3 = e.nespp3
+{_reported_joins('e.vtrserno')}
 WHERE NOT {_no_id('e.docid', 'e.vtrserno')}
 """
 
@@ -615,10 +634,10 @@ SELECT CAST(1 AS BIGINT) AS rtl_seq_no, '01-AUG-01' AS date_downloaded, 'VESSEL'
   {_key('e.docid', 'e.vessel_permit_num', 'e._itis')} AS docid_permit_sppitis_to_match,
   coalesce(CAST(e.docid AS VARCHAR), '0') || '-' || {_key('e.vessel_permit_num', i3)} AS docid_permit_sppitis3_to_match,
   e.docid AS rtl_trip_id, 'DOCID' AS rtl_trip_id_source, e._itis AS species_itis,
-  CASE WHEN e.serial_num IS NOT NULL THEN r.ivr_project END AS rsa_ivr_project_id,
-  CASE WHEN e.serial_num IS NOT NULL THEN r.sfd_project END AS rsa_sfd_project_id
+  {_reported_id('ivr_project')} AS rsa_ivr_project_id,
+  {_reported_id('sfd_project')} AS rsa_sfd_project_id
 FROM e
-LEFT JOIN reported r ON r.docid = e.docid AND r.serial = e.serial_num AND r.nespp3 = e.nespp3
+{_reported_joins('e.serial_num')}
 """
 
 
@@ -635,6 +654,9 @@ FROM {source} WHERE {where}
 
 
 FEED_SQL = {
+    "landings_by_year": _with("dealer_landing") + f"""
+SELECT year(ddate) AS year, CAST(ddate AS DATE) AS day, count(*) AS n, sum(spplndlb) AS pounds, count(DISTINCT docid) AS documents
+FROM dealer_landing WHERE ddate >= {_CUT_730} GROUP BY 1, 2""",
     "quarantine_dealer": _quarantine(
         FEED_DEALER, "rsa_rtl_dealer", "dealer_rpt_id AS source_level1_key_id, landing_seq AS source_level2_key_id",
         "vtrserno", "e", _no_id("docid", "vtrserno")),

@@ -277,20 +277,33 @@ FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN v ON v
 """,
     "project_backfill": """
 WITH f AS (
-  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_orderkey AS docid,
-         CASE WHEN l_linenumber <> 3 THEN CAST(l_linenumber AS VARCHAR) END AS vtrserno,
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN l_orderkey % 5 <> 0 THEN CAST(l_orderkey AS DECIMAL(38,0)) END AS docid,
+         CASE WHEN l_linenumber <> 3 THEN CAST(l_orderkey // 40 * 10 + l_linenumber AS VARCHAR)
+           || CASE WHEN l_linenumber = 2 THEN '  ' ELSE '' END END AS vtrserno,
          lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3,
          CASE WHEN l_linenumber % 2 = 0 THEN 'P' || CAST(l_orderkey AS VARCHAR) END AS rsa_ivr_project_id,
          CASE WHEN l_linenumber % 3 = 0 THEN l_orderkey END AS rsa_sfd_project_id
   FROM lineitem),
-d AS (
-  SELECT l_orderkey AS docid, CAST(l_linenumber AS VARCHAR) AS serial, lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3,
-         max('IVR-' || CAST(l_suppkey AS VARCHAR)) AS ivr_project, max(l_partkey) AS sfd_project
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2, 3)
-SELECT f.l_orderkey, f.l_partkey, f.l_suppkey, f.l_linenumber, f.vtrserno,
-  CASE WHEN f.rsa_ivr_project_id IS NULL AND f.vtrserno IS NOT NULL THEN d.ivr_project ELSE f.rsa_ivr_project_id END AS rsa_ivr_project_id,
-  CASE WHEN f.rsa_sfd_project_id IS NULL AND f.vtrserno IS NOT NULL THEN d.sfd_project ELSE f.rsa_sfd_project_id END AS rsa_sfd_project_id
-FROM f LEFT JOIN d ON d.docid = f.docid AND d.serial = f.vtrserno AND d.nespp3 = f.nespp3
+c AS (
+  SELECT CASE WHEN l_orderkey % 7 <> 0 THEN CAST(l_orderkey AS DECIMAL(38,0)) END AS docid, CAST(l_orderkey // 40 * 10 + l_linenumber AS VARCHAR) AS serial,
+         lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') AS nespp3, 'IVR-' || CAST(l_suppkey AS VARCHAR) AS ivr_project,
+         CASE WHEN l_partkey % 9 <> 0 THEN l_partkey END AS sfd_project
+  FROM lineitem WHERE l_returnflag = 'R'),
+r1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY docid, serial, nespp3 ORDER BY ivr_project DESC, sfd_project DESC NULLS LAST) AS n
+       FROM c WHERE docid IS NOT NULL) WHERE n = 1),
+r2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY serial, nespp3 ORDER BY ivr_project DESC, sfd_project DESC NULLS LAST) AS n
+       FROM c WHERE docid IS NULL) WHERE n = 1),
+r3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY serial, nespp3 ORDER BY ivr_project DESC, sfd_project DESC NULLS LAST) AS n FROM c) WHERE n = 1),
+m AS (
+  SELECT f.*, CASE WHEN r1.n = 1 THEN 'DOCID-SERIAL' WHEN r2.n = 1 THEN 'SERIAL' WHEN r3.n = 1 THEN 'SERIAL-NO-DOCID' END AS matched_by,
+         CASE WHEN r1.n = 1 THEN r1.ivr_project WHEN r2.n = 1 THEN r2.ivr_project WHEN r3.n = 1 THEN r3.ivr_project END AS ivr_project,
+         CASE WHEN r1.n = 1 THEN r1.sfd_project WHEN r2.n = 1 THEN r2.sfd_project WHEN r3.n = 1 THEN r3.sfd_project END AS sfd_project
+  FROM f LEFT JOIN r1 ON r1.docid = f.docid AND r1.serial = trim(f.vtrserno) AND r1.nespp3 = f.nespp3
+         LEFT JOIN r2 ON r2.serial = trim(f.vtrserno) AND r2.nespp3 = f.nespp3
+         LEFT JOIN r3 ON f.docid IS NULL AND r3.serial = trim(f.vtrserno) AND r3.nespp3 = f.nespp3)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, docid, vtrserno,
+  coalesce(rsa_ivr_project_id, ivr_project) AS rsa_ivr_project_id, coalesce(rsa_sfd_project_id, sfd_project) AS rsa_sfd_project_id, matched_by
+FROM m
 """,
     "fill_defaults": """
 SELECT l.l_orderkey, l.l_partkey, l.l_linenumber,

@@ -27,9 +27,10 @@ from quayside.functions.codes import (
     TRIP_ACTIVITY_TYPE, TRIP_CATEGORY,
 )
 from quayside.operators import (
-    backfill, code_list, cut_by_range, dimension, fill_defaults, interval_lookup, lag_within, lookup,
+    code_list, cut_by_range, dimension, fill_defaults, interval_lookup, lag_within, lookup,
     materialize, membership_flag, ordered_membership, purge, union_by_name, validity_flag,
 )
+from quayside.plans.job import backfill_projects, reported_projects
 from quayside.sources import TableSet
 
 # Stand-in run clocks: the order tables end in August 2001, the event
@@ -486,20 +487,25 @@ def project_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     nespp3 = F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0")
     rows = t.lineitem.select(
         *_line_keys(),
-        F.col("l_orderkey").alias("docid"),
-        F.when(F.col("l_linenumber") != 3, F.col("l_linenumber").cast("string")).alias("vtrserno"),
+        F.when(F.col("l_orderkey") % 5 != 0, F.col("l_orderkey").cast("decimal(38,0)")).alias("docid"),
+        F.when(F.col("l_linenumber") != 3, F.concat(_page_serial(), F.when(F.col("l_linenumber") == 2, F.lit("  ")).otherwise(F.lit(""))))
+        .alias("vtrserno"),
         nespp3.alias("nespp3"),
         F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("P"), F.col("l_orderkey").cast("string"))).alias("rsa_ivr_project_id"),
         F.when(F.col("l_linenumber") % 3 == 0, F.col("l_orderkey")).alias("rsa_sfd_project_id"),
     )
-    reported = (t.lineitem.where(F.col("l_returnflag") == "R")
-                .groupBy(F.col("l_orderkey").alias("docid"), F.col("l_linenumber").cast("string").alias("serial"),
-                         nespp3.alias("nespp3"))
-                .agg(F.max(F.concat(F.lit("IVR-"), F.col("l_suppkey").cast("string"))).alias("ivr_project"),
-                     F.max("l_partkey").alias("sfd_project")))
-    out = backfill(rows, reported, {"docid": "docid", "vtrserno": "serial", "nespp3": "nespp3"},
-                   {"rsa_ivr_project_id": "ivr_project", "rsa_sfd_project_id": "sfd_project"}, guard="vtrserno")
-    return out.select(*_line_keys(), "vtrserno", "rsa_ivr_project_id", "rsa_sfd_project_id")
+    reports = t.lineitem.where(F.col("l_returnflag") == "R").select(
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("l_orderkey").cast("decimal(38,0)")).alias("docid"),
+        F.concat(F.lit(" "), _page_serial()).alias("rsa_vtrnbr"), nespp3.alias("nespp3"),
+        F.concat(F.lit("IVR-"), F.col("l_suppkey").cast("string")).alias("rsa_ivr_project_id"),
+        F.when(F.col("l_partkey") % 9 != 0, F.col("l_partkey")).alias("rsa_sfd_project_id"))
+    out = backfill_projects(rows, reported_projects(reports), "vtrserno", label="matched_by")
+    return out.select(*_line_keys(), "docid", "vtrserno", "rsa_ivr_project_id", "rsa_sfd_project_id", "matched_by")
+
+
+def _page_serial():
+    """A page serial that neighbouring orders share."""
+    return (F.floor(F.col("l_orderkey") / 40) * 10 + F.col("l_linenumber")).cast("string")
 
 
 # --------------------------------------------------------------------------

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.context import RunContext
-from quayside.functions import decode, id_col, in_list, key_part, lookback, match_key
+from quayside.functions import decode, id_col, in_list, key_part, match_key
 from quayside.functions.codes import (
     SPECIES_FLAG_DEFAULT, STOCK_AREA_SPECIES, TRIP_ACTIVITY_TYPE, TRIP_CATEGORY, dealer_name_gate,
     dealer_type, disposition,
 )
-from quayside.operators import fill_defaults, lookup, materialize, typed_nulls
+from quayside.operators import counted, fill_defaults, lookup, materialize, typed_nulls
 from quayside.plans.common import (
-    four_fishing_years, plan_year, run_stamp, skate_flag, species_attributes, text_dates, with_code_list,
+    in_window, four_fishing_years, plan_year, run_stamp, skate_flag, species_attributes, text_dates, with_code_lists,
     itis3,
 )
 from quayside.plans.dims import Dims
@@ -28,20 +28,28 @@ CATCH_COLS = """catch_id species_id kept discarded dealer_num date_sold port_lan
     port_number""".split()
 
 
+def chain(ctx: RunContext, documents: DataFrame, images: DataFrame, catches: DataFrame, trip_docids: DataFrame) -> DataFrame:
+    """Document x image x catch of the trip set in the window.
+
+    Most selective first: the document window, the NOT NULL vessel and the
+    trip-set semi join shrink the smallest table before the two big joins.
+    Tables stored in buckets of their join keys (``sources.buckets``) are read
+    as they lie."""
+    d = counted(in_window(documents, "date_land", ctx.cutoff_for("vessel")), "document.window")
+    d = counted(d.where(F.col("vessel_id").isNotNull()), "document.vessel")
+    d = counted(d.join(trip_docids.select("docid").where(F.col("docid").isNotNull()), "docid", "left_semi"), "document.trips")
+    i = images.select(F.col("docid").alias("_i_docid"), *IMG_COLS)
+    c = catches.select(F.col("imgid").alias("_c_imgid"), *CATCH_COLS)
+    t = d.join(i, d.docid == i._i_docid, "inner").drop("_i_docid")
+    return t.join(c, t.imgid == c._c_imgid, "inner").drop("_c_imgid")
+
+
 def build(ctx: RunContext, documents: DataFrame, images: DataFrame, catches: DataFrame, dims: Dims,
           trip_docids: DataFrame) -> DataFrame:
-    # Most selective first: the document window, the NOT NULL vessel and the
-    # trip-set semi join shrink the smallest table before the two big joins.
     dims.prove_reference("species_code", "species_name", "species_itis", "species_plan", "plan_calendar",
                          "rsa_species", "program_target", "vessel_name", "stock_area", "conversion",
                          "dealer_year")
-    d = documents.where(F.col("vessel_id").isNotNull() & lookback("date_land", ctx.cutoff_for("vessel")))
-    d = d.join(trip_docids.select("docid").where(F.col("docid").isNotNull()), "docid", "left_semi")
-    i = images.select(F.col("docid").alias("_i_docid"), *IMG_COLS)
-    c = catches.select(F.col("imgid").alias("_c_imgid"), *CATCH_COLS)
-    t = d.join(i, d.docid == i._i_docid, "inner").drop("_i_docid")
-    t = t.join(c, t.imgid == c._c_imgid, "inner").drop("_c_imgid")
-
+    t = counted(chain(ctx, documents, images, catches, trip_docids), "vessel.joined")
     t = lookup(t, dims.species_code, ["species_id"], {"nespp3": "nespp3", "nespp4": "_nespp4"}, small=True)
     t = lookup(t, dims.species_name, {"_nespp4": "nespp4"}, {"common_name": "spp_common_name"}, small=True)
     t = species_attributes(t, dims, "nespp3", derive_program=True)
@@ -53,8 +61,8 @@ def build(ctx: RunContext, documents: DataFrame, images: DataFrame, catches: Dat
     t = lookup(t, dims.dealer_year, {"dealer_num": "dealer_num", "_sale_year": "year"},
                {"dealer_name": "_dealer"}, small=True)
     t = materialize(t)   # the code list below reads t twice
-    t = with_code_list(t, dims, {"vessel_permit_num": "permit", "_itis": "itis"}, "date_land", "category",
-                       "fmp_cat_code_list")
+    t = with_code_lists(t, dims.permit_periods, {"vessel_permit_num": "permit", "_itis": "itis"}, "date_land",
+                        {"category": "fmp_cat_code_list"}, row_key=["catch_id"])
 
     rows = t.select(
         *run_stamp(ctx, "vessel"),

@@ -9,8 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quayside.operators import (
-    backfill, code_list, dimension, cut_by_range, fill_defaults, interval_lookup, lag_within, lookup,
-    membership_flag, ordered_membership, purge, union_by_name,
+    Rank, backfill, code_list, conflicts, dimension, cut_by_range, fill_defaults, interval_lookup, lag_within, lookup,
+    membership_flag, ordered_membership, purge, ranked_backfill, union_by_name,
 )
 
 BASE = dt.datetime(2024, 1, 1)
@@ -301,3 +301,48 @@ def test_validity_flag_takes_any_window_on_both_paths(spark):
         out = validity_flag(df, windows, {"k": "k"}, F.col("at"), "f", "t", "status", small=small)
         assert out.columns == ["k", "at", "status"]
         assert {(r.k, r.at): r.status for r in out.collect()} == want, small
+
+
+def test_conflicts_hold_every_candidate(spark):
+    rows = [(1, "a", 1), (1, "a", 1), (1, "b", None), (1, None, 3), (2, "x", 1), (2, "x", 1), (3, None, None), (3, None, 2),
+            (None, "n", 1), (None, "m", 1), (4, None, None), (4, None, None)]
+    df = spark.createDataFrame(rows, "k int, v string, n int").repartition(3)
+    got = sorted(map(tuple, conflicts(df, ["k"], ["v", "n"]).collect()), key=repr)
+    assert got == sorted([(1, "a", 1, 3, 2, False), (1, "b", None, 3, 1, True), (1, None, 3, 3, 1, False),
+                          (3, None, None, 2, 1, False), (3, None, 2, 2, 1, True)], key=repr)
+    picked = {r.k: (r.v, r.n) for r in dimension(df, ["k"], ["v", "n"]).collect()}
+    assert all(picked[k] == (v, n) for k, v, n, _, _, p in got if p)
+    assert conflicts(df.limit(0), ["k"], ["v"]).count() == 0
+
+
+RANKS = [Rank("ALL", {"doc": "doc", "serial": "serial", "sp": "sp"}),
+         Rank("SERIAL", {"serial": "serial", "sp": "sp"}, candidate_lacks="doc"),
+         Rank("NO-DOC", {"serial": "serial", "sp": "sp"}, row_lacks="doc")]
+
+
+def test_ranked_backfill_equals_brute_force(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.choice([None, 1, 2, 3]), rng.choice([None, "s1", "s2", "s3"]), rng.choice([None, "c", "d"]),
+             rng.choice([None, "own"]), rng.choice([None, 77])) for i in range(400)]
+    rows += rows[:5]
+    cands = [(rng.choice([None, 1, 2]), rng.choice([None, "s1", "s2"]), rng.choice([None, "c", "d"]), rng.choice([None, "p", "q"]),
+              rng.choice([None, 5, 6])) for _ in range(25)]
+    df = spark.createDataFrame(rows, "id int, doc int, serial string, sp string, a string, b int").repartition(3)
+    cand = spark.createDataFrame(cands, "doc int, serial string, sp string, ca string, cb int")
+
+    want = []
+    for i, doc, serial, sp, a, b in rows:
+        best = None
+        if serial is not None and sp is not None:
+            for label, ok in (("ALL", lambda c: doc is not None and c[0] == doc), ("SERIAL", lambda c: c[0] is None), ("NO-DOC", lambda c: doc is None)):
+                hits = [c for c in cands if c[1] == serial and c[2] == sp and ok(c)]
+                if hits and best is None:
+                    top = max(hits, key=lambda c: ((c[3] is not None, c[3] or ""), (c[4] is not None, c[4] or 0)))
+                    best = (label, top[3], top[4])
+        label, ca, cb = best or (None, None, None)
+        want.append((i, doc, serial, sp, a if a is not None else ca, b if b is not None else cb, label))
+    got = ranked_backfill(df, cand, RANKS, {"a": "ca", "b": "cb"}, guard="serial", label="by")
+    assert got.columns == [*df.columns, "by"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert {w[-1] for w in want} == {None, "ALL", "SERIAL", "NO-DOC"}
+    assert ranked_backfill(df, cand.limit(0), RANKS, {"a": "ca", "b": "cb"}, guard="serial").exceptAll(df).count() == 0
