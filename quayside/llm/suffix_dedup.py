@@ -11,7 +11,10 @@ earliest of them go.
 
 Defined cases: null text is empty; texts of fewer than 100 bytes keep all;
 repeated rows (same doc_id and text) are one document and never remove each
-other; a null doc_id is later than any other; other columns are ignored.
+other; unlike texts of one doc_id are documents in the order of their hashes; a
+null doc_id is later than any other; doc_ids are integers, others raise; very long
+texts are cut like others and only their last step is one row's work; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +25,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from zstandard import ZstdDecompressor
 
 from quayside.llm.superkmers import COMMON, Strings, Units, covered, gather, keyed, mixed, repeated, runs_of
@@ -140,15 +142,15 @@ def found_earlier(s: Strings, window: int) -> np.ndarray:
     w = window_at[sa]
     same = common_prefix_reaches(t, words, sa[:-1], sa[1:], window)
     group = np.concatenate(([0], np.cumsum(~same)))
-    doc, key, start = s.doc[string[w]], s.key[string[w]], s.start[string[w]] + inside[w]
+    ids, start = s.ids.take(string[w]), s.start[string[w]] + inside[w]
     twice = np.concatenate(([False], same)) | np.concatenate((same, [False]))
     at = np.flatnonzero(twice)
-    at = at[np.lexsort((start[at], key[at], doc[at], group[at]))]
+    at = at[np.lexsort((start[at], ids.key[at], ids.doc[at], ids.none[at], group[at]))]
     out = np.zeros(total, bool)
     if len(at):
         first = np.concatenate(([True], group[at][1:] != group[at][:-1]))
         lead = at[first][np.cumsum(first) - 1]
-        earlier = (doc[lead] != doc[at]) | (key[lead] != key[at]) | (start[lead] != start[at])
+        earlier = ids.take(lead).unlike(ids.take(at)) | (start[lead] != start[at])
         out[w[at[earlier]]] = True
     return out
 
@@ -180,4 +182,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
             yield pa.RecordBatch.from_arrays(made + [pa.array(body, pa.binary())] * with_text, names=names)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return gather(rows, runs).mapInArrow(kept, schema).withColumn("doc_id", F.when(F.col("doc_id") != (1 << 63) - 1, F.col("doc_id")))
+    return gather(rows, runs).mapInArrow(kept, schema)

@@ -10,11 +10,13 @@ minimisers held by very many super-k-mers; ``deal`` sends all others to
 buckets of bounded size, as compressed Arrow blobs, and ``in_buckets`` calls
 an operator's comparison there; ``hot_windows`` sends the windows of common
 minimisers one by one, by 128-bit window hash, for skew-safe aggregation.
-All return runs of windows (doc_id, text_key, start, length), which
+All return runs of windows (none, doc_id, text_key, start, length), which
 ``gather`` joins back to the documents.
 
-A document is (doc_id, hash of its text): repeated rows are one document for
-the join.  Null texts are empty; documents shorter than a window have none.
+A document is its doc_id, an integer, and a 64-bit hash of its text: repeated
+rows are one document for the join, unlike texts under one doc_id are not.  Rows
+without doc_id (``none``) carry a second 64-bit hash of the text in its place.
+Null texts are empty; documents shorter than a window have none.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from zstandard import ZstdCompressor
 
 from quayside.llm.common import materialize, ship, text_of
@@ -37,7 +40,10 @@ COUNTERS = 1 << 17
 BUCKET_ROWS = 100_000
 CHUNK = 1 << 19
 HELD = 1 << 23
-RUNS = "doc_id long, text_key int, start long, length long"
+ID = ["none", "doc_id", "text_key"]
+RUNS = "none boolean, doc_id long, text_key long, start long, length long"
+#: parts into which a common window's places are split by their documents
+SALTS = 256
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -111,12 +117,31 @@ def cut(h: np.ndarray, doc_end: np.ndarray, units: Units) -> tuple[np.ndarray, n
     return first[good], n[good], low[first[good]]
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """doc_ids, text_keys and texts, about CHUNK characters at once."""
+@dataclass
+class Ids:
+    """The documents' identities, one array a column."""
+    none: np.ndarray
+    doc: np.ndarray
+    key: np.ndarray
+
+    def take(self, at: np.ndarray) -> Ids:
+        return Ids(self.none[at], self.doc[at], self.key[at])
+
+    def arrays(self) -> list[pa.Array]:
+        return [pa.array(self.none, pa.bool_()), pa.array(self.doc.astype(np.int64)), pa.array(self.key.astype(np.int64))]
+
+    def unlike(self, other: Ids) -> np.ndarray:
+        return (self.doc != other.doc) | (self.key != other.key) | (self.none != other.none)
+
+    @classmethod
+    def of(cls, table: pa.Table | pa.RecordBatch) -> Ids:
+        return cls(*(table.column(c).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(c).to_numpy() for c in ID))
+
+
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Ids, list[str]]]:
+    """Identities and texts, about CHUNK characters at once."""
     for batch in batches:
-        ids, keys, texts = (batch.column(i) for i in range(3))
-        ids = ids.to_numpy(zero_copy_only=False) if not ids.null_count else ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-        keys = keys.to_numpy(zero_copy_only=False)
+        ids, texts = Ids.of(batch), batch.column("text")
         at = 0
         while at < batch.num_rows:
             part, size, end = [], 0, at
@@ -124,14 +149,17 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
                 part.append(texts[end].as_py())
                 size += len(part[-1])
                 end += 1
-            yield ids[at:end], keys[at:end], part
+            yield ids.take(np.arange(at, end)), part
             at = end
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, text.  A null doc_id counts as the largest."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"),
-                       F.hash(text_of()).alias("text_key"), text_of().alias("text"))
+    """none, doc_id, text_key, text."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"doc_id is {kind.simpleString()}; documents are ordered by integers")
+    return docs.select(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text_of())).alias("doc_id"),
+                       F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
 
 
 def common_minimisers(docs: DataFrame, units: Units, common: int) -> tuple[np.ndarray, int]:
@@ -139,7 +167,7 @@ def common_minimisers(docs: DataFrame, units: Units, common: int) -> tuple[np.nd
     there are.  At most ``super-k-mers / common`` come to the driver."""
     def summary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value, count, total = np.empty(0, np.uint64), np.empty(0, np.int64), 0
-        for _, _, texts in _chunks(batches):
+        for _, texts in _chunks(batches):
             _, h, _, _, doc_end = units.split(texts)
             m = cut(h, doc_end, units)[2]
             total += len(m)
@@ -163,7 +191,7 @@ def deal(docs: DataFrame, units: Units, common: np.ndarray, n_buckets: int) -> D
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
-        for ids, keys, texts in _chunks(batches):
+        for ids, texts in _chunks(batches):
             packed, h, place, doc, doc_end = units.split(texts)
             first, n, m = cut(h, doc_end, units)
             if len(common):
@@ -175,10 +203,10 @@ def deal(docs: DataFrame, units: Units, common: np.ndarray, n_buckets: int) -> D
             begin = np.searchsorted(doc, np.arange(len(texts)))
             a, b = place[first].tolist(), place[first + n + units.window - 1].tolist()
             held.append(pa.RecordBatch.from_arrays([
-                pa.array((m >> np.uint64(32)).astype(np.uint32)), pa.array(ids[of]), pa.array(keys[of]),
+                pa.array((m >> np.uint64(32)).astype(np.uint32)), *ids.take(of).arrays(),
                 pa.array((first - begin[of]).astype(np.uint32)), pa.array(n.astype(np.uint32)),
                 pa.array([packed[x:y] for x, y in zip(a, b, strict=True)], pa.binary()),
-                pa.array((m % np.uint64(n_buckets)).astype(np.int64))], names=["m", "doc_id", "text_key", "start", "n", "packed", "bucket"]))
+                pa.array((m % np.uint64(n_buckets)).astype(np.int64))], names=["m", *ID, "start", "n", "packed", "bucket"]))
             size += len(packed)
             if size > HELD:
                 yield _blobs(held)
@@ -211,8 +239,7 @@ class Strings:
     text: bytes
     at: np.ndarray       # where each begins in text, and the end
     n: np.ndarray        # windows
-    doc: np.ndarray
-    key: np.ndarray
+    ids: Ids
     start: np.ndarray
 
 
@@ -246,19 +273,19 @@ def _bucket_runs(table: pa.Table, compare: Callable[[Strings], list[np.ndarray]]
     packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
     coded = packed.dictionary_encode()
     code, strings = coded.indices.to_numpy(), coded.dictionary
-    m, doc, key = (table.column(c).to_numpy() for c in ("m", "doc_id", "text_key"))
+    m, ids = table.column("m").to_numpy(), Ids.of(table)
     start, n = table.column("start").to_numpy().astype(np.int64), table.column("n").to_numpy().astype(np.int64)
-    order = np.lexsort((start, key, doc, code))
-    code, m, doc, key, start, n = code[order], m[order], doc[order], key[order], start[order], n[order]
+    order = np.lexsort((start, ids.key, ids.doc, ids.none, code))
+    code, m, ids, start, n = code[order], m[order], ids.take(order), start[order], n[order]
     first = np.concatenate(([True], code[1:] != code[:-1]))
     where = np.flatnonzero(first)
     if first_stays:   # a repeated row is the same place
         lead = where[code]
-        again = (doc != doc[lead]) | (key != key[lead]) | (start != start[lead])
+        again = ids.unlike(ids.take(lead)) | (start != start[lead])
     else:
         again = np.bincount(code)[code] > 1
     if again.any():
-        yield _runs_batch(doc[again], key[again], start[again], n[again])
+        yield _runs_batch(ids.take(again), start[again], n[again])
     groups, back = np.unique(m[where], return_inverse=True)
     several = np.bincount(back)[back] > 1
     if not several.any():
@@ -269,7 +296,7 @@ def _bucket_runs(table: pa.Table, compare: Callable[[Strings], list[np.ndarray]]
     text = b"".join(some.to_pylist())
     size = np.diff(np.frombuffer(some.buffers()[1], np.int32, len(some) + 1, some.offset * 4)).astype(np.int64)
     place = where[ask]
-    flags = compare(Strings(text, np.concatenate(([0], np.cumsum(size))), n[place], doc[place], key[place], start[place]))
+    flags = compare(Strings(text, np.concatenate(([0], np.cumsum(size))), n[place], ids.take(place), start[place]))
     ends = np.cumsum(n[place])
     flat = np.concatenate(flags) if isinstance(flags, list) else flags
     if not flat.any():
@@ -282,26 +309,24 @@ def _bucket_runs(table: pa.Table, compare: Callable[[Strings], list[np.ndarray]]
     string = np.searchsorted(ends, begin, side="right")
     offset, length = begin - (ends - n[place])[string], stop - begin
     if first_stays:
-        yield _runs_batch(doc[place][string], key[place][string], start[place][string] + offset, length)
+        yield _runs_batch(ids.take(place[string]), start[place][string] + offset, length)
         return
     # all places of the string lose these windows
     count = np.bincount(code)[code[where]][ask]
     repeat = count[string]
     j = np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
     at = np.repeat(place[string], repeat) + j
-    yield _runs_batch(doc[at], key[at], start[at] + np.repeat(offset, repeat), np.repeat(length, repeat))
+    yield _runs_batch(ids.take(at), start[at] + np.repeat(offset, repeat), np.repeat(length, repeat))
 
 
-def _runs_batch(doc, key, start, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc.astype(np.int64)), pa.array(key.astype(np.int32)), pa.array(start.astype(np.int64)), pa.array(n.astype(np.int64))],
-        names=["doc_id", "text_key", "start", "length"])
+def _runs_batch(ids: Ids, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*ids.arrays(), pa.array(start.astype(np.int64)), pa.array(n.astype(np.int64))], names=[*ID, "start", "length"])
 
 
 def hot_windows(docs: DataFrame, units: Units, common: np.ndarray) -> DataFrame:
-    """doc_id, text_key, start, h1, h2: windows of common minimisers."""
+    """none, doc_id, text_key, start, h1, h2: windows of common minimisers."""
     def sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, keys, texts in _chunks(batches):
+        for ids, texts in _chunks(batches):
             _, h, _, doc, doc_end = units.split(texts)
             first, n, m = cut(h, doc_end, units)
             hot = np.isin(m, common)
@@ -312,10 +337,10 @@ def hot_windows(docs: DataFrame, units: Units, common: np.ndarray) -> DataFrame:
             begin, of = np.searchsorted(doc, np.arange(len(texts))), doc[at]
             h1, h2 = (joined_hash(h, units.window, f)[at].view(np.int64) for f in (_A, _B))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[of]), pa.array(keys[of]), pa.array((at - begin[of]).astype(np.int64)), pa.array(h1), pa.array(h2)],
-                names=["doc_id", "text_key", "start", "h1", "h2"])
+                [*ids.take(of).arrays(), pa.array((at - begin[of]).astype(np.int64)), pa.array(h1), pa.array(h2)],
+                names=[*ID, "start", "h1", "h2"])
 
-    return docs.mapInArrow(sent, "doc_id long, text_key int, start long, h1 long, h2 long")
+    return docs.mapInArrow(sent, "none boolean, doc_id long, text_key long, start long, h1 long, h2 long")
 
 
 def repeated(docs: DataFrame, units: Units, compare: Callable[[Strings], list[np.ndarray]], first_stays: bool,
@@ -327,13 +352,17 @@ def repeated(docs: DataFrame, units: Units, compare: Callable[[Strings], list[np
     out = in_buckets(deal(docs, units, hot, n_buckets), n_buckets, compare, first_stays)
     if not len(hot):
         return out
-    seen = materialize(hot_windows(docs, units, hot))
+    # A window may have any share of the places: they are split by their
+    # documents, counted by part, then over the parts, and joined by part.
+    salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int")
+    seen = materialize(hot_windows(docs, units, hot).withColumn("salt", salt))
+    place = F.struct(*ID, "start")
+    parts = seen.groupBy("h1", "h2", "salt").agg(F.count("*").alias("n"), F.min(place).alias("low"))
+    whole = parts.groupBy("h1", "h2").agg(F.sum("n").alias("all"), F.min("low").alias("best")).where("all > 1")
+    gone = seen.join(parts.select("h1", "h2", "salt").join(whole, ["h1", "h2"]), ["h1", "h2", "salt"])
     if first_stays:
-        best = seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key", "start")).alias("best"))
-        gone = seen.join(best, ["h1", "h2"]).where(F.struct("doc_id", "text_key", "start") != F.col("best"))
-    else:
-        gone = seen.join(seen.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), ["h1", "h2"])
-    return out.unionByName(gone.select("doc_id", "text_key", "start", F.lit(1).cast("long").alias("length")))
+        gone = gone.where(place != F.col("best"))
+    return out.unionByName(gone.select(*ID, "start", F.lit(1).cast("long").alias("length")))
 
 
 def gather(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -343,12 +372,13 @@ def gather(docs: DataFrame, runs: DataFrame) -> DataFrame:
         press = ZstdCompressor(level=1)
         for batch in batches:
             body = pa.array([press.compress(t.as_py().encode()) for t in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), body], names=["doc_id", "text_key", "body"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ID), body], names=[*ID, "body"])
 
-    each = (materialize(runs).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "length")).alias("runs"))
-            .select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("runs.start").alias("starts"), F.col("runs.length").alias("lengths")))
-    docs = docs.mapInArrow(squeezed, "doc_id long, text_key int, body binary")
-    return docs.join(each, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k")), "left").drop("d", "k")
+    each = (materialize(runs).groupBy(*ID).agg(F.collect_list(F.struct("start", "length")).alias("runs"))
+            .select(*[F.col(c).alias(f"r_{c}") for c in ID], F.col("runs.start").alias("starts"), F.col("runs.length").alias("lengths")))
+    docs = docs.mapInArrow(squeezed, "none boolean, doc_id long, text_key long, body binary")
+    same = (F.col("doc_id") == F.col("r_doc_id")) & (F.col("text_key") == F.col("r_text_key")) & (F.col("none") == F.col("r_none"))
+    return docs.join(each, same, "left").select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "body", "starts", "lengths")
 
 
 def covered(n: int, window: int, starts, lengths) -> np.ndarray:

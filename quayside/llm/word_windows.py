@@ -7,7 +7,10 @@ of the distinct strings of a minimiser are sorted by two 64-bit hashes, their
 bytes compared where both agree, and counted exactly.
 
 Defined cases: null text has no words; texts of fewer than 35 words keep all;
-repeated rows repeat their windows, so all of these go; other columns are ignored.
+repeated rows repeat their windows, so all of these go; doc_ids may be null or
+repeat, but are integers (others raise); very long texts are cut like others and
+only their last step is one row's work; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +21,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from zstandard import ZstdDecompressor
 
 from quayside.llm.superkmers import COMMON, Strings, Units, covered, gather, joined_hash, keyed, mixed, repeated
@@ -113,8 +115,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
             yield pa.RecordBatch.from_arrays(made + [pa.array(body, pa.string())] * with_text, names=names)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-    return _null_ids(gather(rows, runs).mapInArrow(kept, schema))
-
-
-def _null_ids(df: DataFrame) -> DataFrame:
-    return df.withColumn("doc_id", F.when(F.col("doc_id") != (1 << 63) - 1, F.col("doc_id")))
+    return gather(rows, runs).mapInArrow(kept, schema)
