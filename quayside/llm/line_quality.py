@@ -110,9 +110,10 @@ def removals(docs: DataFrame, limits: Limits, host: str = "source") -> DataFrame
                                 F.collect_set("line_no").alias("removed_at")))
 
 
-def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
-    """One row per document: counts, ``base_failed``, what was removed, ``kept``."""
-    removed = removals(docs, limits, host).select(*[F.col(c).alias(f"r_{c}") for c in _KEY], "removed_lines", "removed_words")
+def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source", gone: DataFrame | None = None) -> DataFrame:
+    """One row per document: counts, ``base_failed``, what was removed, ``kept``.
+    ``gone`` gives the :func:`removals` if they are known already."""
+    removed = (removals(docs, limits, host) if gone is None else gone).select(*[F.col(c).alias(f"r_{c}") for c in _KEY], "removed_lines", "removed_words")
     lines = F.filter(F.split(F.col("body"), "\n"), lambda x: F.translate(x, SPACE, "") != "")
     counted = _keyed(docs, host).select(
         *_KEY,
@@ -126,11 +127,11 @@ def judge(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
         ((F.col("w.n_words") < limits.min_words)
          | (F.col("w.n_repeat_words") * 100 > F.col("w.n_words") * limits.max_repeat_pct)).alias("base_failed"))
     same = [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in _KEY]
-    gone = F.coalesce(F.col("removed_words"), F.lit(0)).cast("long")
-    depleted = gone > F.col("n_words") * F.lit(limits.max_removed)
+    lost = F.coalesce(F.col("removed_words"), F.lit(0)).cast("long")
+    depleted = lost > F.col("n_words") * F.lit(limits.max_removed)
     return judged.join(removed, same[0] & same[1] & same[2], "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.coalesce(F.col("removed_lines"), F.lit(0)).cast("long").alias("removed_lines"), gone.alias("removed_words"),
+        F.coalesce(F.col("removed_lines"), F.lit(0)).cast("long").alias("removed_lines"), lost.alias("removed_words"),
         depleted.alias("depleted"), (~F.col("base_failed") & ~depleted).alias("kept"), *_KEY[1:])
 
 
@@ -140,8 +141,9 @@ def clean(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> D
     Columns are those of ``docs``; ``n_chars`` follows the new text where it
     exists.  A text without boilerplate is returned unchanged.
     """
-    cut = removals(docs, limits, host).select(*[F.col(c).alias(f"r_{c}") for c in _KEY], "removed_at")
-    keep = judge(docs, limits, host).where("kept").select(*[F.col(c).alias(f"k_{c}") for c in _KEY]).distinct()
+    gone = materialize(removals(docs, limits, host))   # lines are counted once, for the cut and for the verdict
+    cut = gone.select(*[F.col(c).alias(f"r_{c}") for c in _KEY], "removed_at")
+    keep = judge(docs, limits, host, gone).where("kept").select(*[F.col(c).alias(f"k_{c}") for c in _KEY]).distinct()
     verdict = materialize(keep.join(
         cut, F.col("k_doc_id").eqNullSafe(F.col("r_doc_id")) & (F.col("k_host_key") == F.col("r_host_key"))
         & (F.col("k_text_key") == F.col("r_text_key")), "left").select("k_doc_id", "k_host_key", "k_text_key", "removed_at"))
