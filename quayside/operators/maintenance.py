@@ -136,6 +136,22 @@ def run_tables(spark: SparkSession):
             path.getFileSystem(conf).delete(path, True)
 
 
+# What :func:`materialize` has written, for those who look at plans (None: nobody).
+_WRITTEN: ContextVar = ContextVar("written", default=None)
+
+
+@contextmanager
+def written_tables():
+    """The DataFrames that :func:`materialize` writes inside, as they were
+    planned: a query's own plan begins at the last table it has written."""
+    tables: list[DataFrame] = []
+    token = _WRITTEN.set(tables)
+    try:
+        yield tables
+    finally:
+        _WRITTEN.reset(token)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage before a fan-out.
 
@@ -154,5 +170,7 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quayside-tables/{uuid.uuid4().hex}"
     if _RUN_TABLES.get() is not None:
         _RUN_TABLES.get().append(path)
+    if _WRITTEN.get() is not None:
+        _WRITTEN.get().append(df)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from quayside.operators.maintenance import written_tables
 from quayside.plans.feed_standins import FEED_QUERIES
 from quayside.plans.standins import QUERIES
 
@@ -21,10 +22,13 @@ def plan_text(df) -> str:
 
 @pytest.mark.parametrize("name", sorted({**QUERIES, **FEED_QUERIES}))
 def test_standin_plans_stay_in_jvm_and_distributed(spark, name):
-    text = plan_text(E.queries()[name](spark, SMALL))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
-        assert bad not in text, (name, bad)
-    assert "SinglePartition" not in text, name
+    with written_tables() as tables:
+        last = E.queries()[name](spark, SMALL)
+    for df in [*tables, last]:      # what the query has written on its way, then the rest
+        text = plan_text(df)
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInArrow", "CartesianProduct"):
+            assert bad not in text, (name, bad)
+        assert "SinglePartition" not in text, name
 
 
 def test_lookback_and_projection_reach_the_scan(spark):

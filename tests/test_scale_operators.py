@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 import domain_fixture as fx
 from quayside.operators import (
-    bloom_filter, bloom_filters, code_periods, dimension, heavy_hitters, latest_at, lookup, may_contain, membership_flag,
+    bloom_filter, bloom_filters, code_periods, dimension, heavy_hitters, latest_at, latest_open, lookup, may_contain, membership_flag,
 )
+from quayside.operators import open_spans
 from quayside.plans import dealer, job, vessel
 from quayside.plans.common import in_window
 from quayside.plans.dims import build_dims
@@ -168,6 +169,38 @@ def test_one_busy_key_is_searched_by_many_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+# ---- the latest open span
+
+def brute_latest_open(probes, spans):
+    out = set()
+    for k, t in probes:
+        held = [(s, d) for g, s, e, d in spans if None not in (k, t, g, s, e) and g == k and s <= t <= e]
+        if held:
+            out.add((k, t, max(held)[1]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("fan", [16, 2])
+def test_latest_open_span_equals_brute_force(spark, monkeypatch, fan):
+    monkeypatch.setattr(open_spans, "_SHIFT", fan.bit_length() - 1)
+    rng = random.Random(fan)
+    spans = [(p, day(rng.randrange(60), rng.randrange(24)), None, i) for i, p in enumerate(rng.choices(["a", "b", "c"], k=60))]
+    spans = [(p, s, s + dt.timedelta(hours=rng.choice([0, 1, 5, 30, 200])), i) for p, s, _, i in spans]
+    # a busy permit: hundreds of short spans in one week, one that outlasts them all, one of the same start
+    spans += [("hot", day(10) + dt.timedelta(minutes=7 * i), day(10) + dt.timedelta(minutes=7 * i + rng.choice([0, 3, 9, 400])), 1000 + i) for i in range(600)]
+    spans += [("hot", day(9), day(40), 5000), ("hot", day(9), day(40), 5001), ("hot", day(12), day(11), 5002), ("hot", None, day(12), 5003),
+              ("hot", day(9), None, 5004), (None, day(0), day(90), 5005), ("d", day(1), day(1), 5006)]
+    probes = [(p, day(rng.randrange(60), rng.randrange(24))) for p in ("a", "b", "c", "d", "none", None) for _ in range(40)]
+    probes += [("hot", day(10) + dt.timedelta(minutes=rng.randrange(-2000, 9000))) for _ in range(300)] + [("hot", None), ("d", day(1)), ("hot", day(40))]
+    probes += [(p, s) for p, s, _, _ in spans[:20]] + [(p, e) for p, _, e, _ in spans[20:40]]
+    s = spark.createDataFrame(spans, "permit string, f timestamp_ntz, t timestamp_ntz, docid long").repartition(3)
+    p = spark.createDataFrame(probes, "vessel string, at timestamp_ntz").repartition(3)
+    got = latest_open(p, s, {"vessel": "permit"}, "at", "f", "t", ["docid"])
+    assert got.columns == ["vessel", "at", "docid"]
+    assert sorted(map(tuple, got.collect())) == brute_latest_open(probes, spans)
+    assert latest_open(p, s.limit(0), {"vessel": "permit"}, "at", "f", "t", ["docid"]).count() == 0
+
+
 # ---- storage by year
 
 def test_a_window_opens_its_own_years_only(spark, tmp_path):
