@@ -16,7 +16,9 @@ the halves are cut changes the work, never the result.
 Copies meet as (digest, largest doc_id, rows) partial aggregates, so a group
 of any size is one row before it moves.  Defined cases: null text equals the
 empty text; a null doc_id is older than any other; of repeated rows with one
-doc_id and text exactly one is kept; an empty table gives an empty result.
+doc_id and text exactly one is kept; texts of any length are digested whole; an
+empty table gives an empty result; other columns are ignored, or kept by
+``distinct_documents``.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ text is never rejected for having been copied.
 
 Defined cases: null text is an empty text (no words, fails the base rule);
 null source is a host of its own; repeated rows are each judged and never add
-up; an empty table gives an empty result; other columns are ignored.  Line
-and text identities are 64-bit hashes.
+up; a line in exactly the limit's number of documents stays; texts and lines of
+any length are taken whole; an empty table gives an empty result; other columns
+are ignored, or kept by ``clean``.  Line and text identities are 64-bit hashes.
 """
 
 from __future__ import annotations

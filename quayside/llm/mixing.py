@@ -16,8 +16,9 @@ document at most.
 
 Defined cases: null text has size 0 and is repeated like its source; null
 source is the last source; sources of size 0 get target 0; repeated rows with
-one doc_id and size share their place in the order and are taken in turn; an
-empty table gives an empty result.
+one doc_id and size share their place in the order and are taken in turn; a very
+long text is repeated or not as a whole; an empty table gives an empty result; other
+columns are ignored, or kept by ``mixed_documents``.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ Ranks come from row numbers inside (write partition, length) plus the counts
 of earlier partitions, so the commonest length is never ranked in one task.
 
 Defined cases: a null text is empty and yields one piece, its end id; repeated
-rows are packed like any other; an empty table gives an empty result.
+rows are packed like any other; pieces of one length are ranked in any order, and
+any order packs as well; a very long text is cut into as many pieces as it needs;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ written edge tables.
 
 Defined cases: null text is empty; a text without words has fingerprint zero
 and is linked like any other; a null doc_id is never a component's smallest
-unless all are null; repeated rows each appear; other columns are ignored.
+unless all are null; repeated rows each appear; texts of any length are taken whole;
+an empty table gives no rows; other columns are ignored.
 Of each group one row stays, whatever ids it has; rows are told apart by their
 doc_id and a 64-bit hash of all columns.
 """

@@ -13,7 +13,9 @@ marks if the word behind it starts with a lone mark, else all but one.
 
 The model must be BPE with identity normalisation and byte fallback; anything
 else is refused.  Defined cases: null text is empty and has 0 tokens; repeated
-rows are each counted; a character outside the vocabulary counts its bytes.
+rows are each counted; a character outside the vocabulary counts its bytes; a very
+long text is one row's work, linear in its length but for the segments it repeats;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

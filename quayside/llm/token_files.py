@@ -9,7 +9,9 @@ tasks can read them back.  A document's start follows from the lengths: sums
 inside the segment, over the segments of a part, and over the parts.
 
 Defined cases: null text is empty and holds the end id alone; a null doc_id
-comes first; repeated rows follow each other; an empty table has no segment.
+comes first; repeated rows follow each other (rows of one doc_id in any order); a
+document longer than a segment has one of its own; an empty table has no segment;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ The mining sees all tokens of a URL.  Tokens of exactly the same URLs are mined
 as one and written out again in the rules; what a subset beats for certain is
 not combined.  The rules are those of mining every frequent token.  URLs and
 classes of tokens are told apart by 64-bit hashes.  Defined cases: a null url, or one without ``://``, has an empty host and path and is allowed;
+URLs of any length are taken whole; of mined rules that fit equally well the one with
+the highest id is named; empty tables give no rules and no verdicts;
 labels that are null or have no page are ignored, of several labels for a page
 any bad one counts; repeated pages are mined once and each judged; without labels no rule is
 mined; other columns are ignored.

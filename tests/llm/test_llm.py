@@ -467,6 +467,39 @@ def test_pack_histogram():
         assert used == histogram
 
 
+def test_very_long_texts(spark, scratch_dir):
+    """A million characters without a space, 100,000 lines, one word 200,000 times."""
+    texts = ["x" * 1_000_000, "line of words\n" * 100_000, "word " * 200_000, "short"]
+    rows = [(i, t, "en", "s", len(t), 1, "x", "x", "x", "x", 1) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    judged = {r.doc_id: r for r in line_quality.judge(df).collect()}
+    assert [judged[i].n_words for i in range(4)] == [1, 300_000, 200_000, 1] and not any(r.kept for r in judged.values())
+    assert judged[1].n_dup_lines == 99_999 and judged[2].n_repeat_words == 200_000
+    urls = spark.createDataFrame([(i, f"http://a.net/{t}") for i, t in enumerate(texts)] + [(9, "h" * 1_000_000)], "page_id long, url string")
+    none = url_rules.mine(urls, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert {r.page_id: (r.verdict, len(r.path)) for r in url_rules.judge(urls, none).collect()} == {
+        **{i: ("block", len(t) + 1) for i, t in enumerate(texts)}, 9: ("allow", 0)}
+    assert {r.doc_id: r.n_bytes for r in token_counts.count_tokens(df, PIECE).collect()} == {i: len(t) for i, t in enumerate(texts)}
+    token_files.write(df, BYTE, f"{scratch_dir}/long", end_id=2, vocabulary=50_257)
+    library = token_files_library()
+    want = {i: [*library.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.read(spark.read.parquet(f"{scratch_dir}/long")).collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+    assert {r.doc_id: r["size"] for r in mixing.mix(df).collect()} == {0: 1, 1: 300_000, 2: 200_000, 3: 1}
+    assert {r.doc_id: r.text_sha256 for r in exact_dedup.deduplicate(df).collect()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(texts)}
+    assert len({r.fingerprint for r in simhash.near_duplicates(df).collect()}) == 4
+    packed = Counter()
+    for r in packing.pack(df, BYTE).collect():
+        packed[r.doc_id] += r.length
+    assert packed == {i: len(x) for i, x in want.items()}
+
+
+def token_files_library():
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(BYTE)
+    return library
+
+
 def test_pipeline_stages(spark, docs, empty, scratch_dir):
     import corpus_pipeline
     now, rows = docs, corpus()
