@@ -17,9 +17,12 @@ makes a sketch of which every differing token can change one block only.  So
 
 A band reaches from ``lo`` to ``lo / t``; a set files in its own band and in the one
 below, so sets of neighbouring bands meet.  Equal sets are one row from the start.
-Lists of sets that share a block are compared in two rounds: each set with its
-list's first one, then, only in lists that these links leave in several
-components, the rest across components.  Links within a component decide nothing.
+Lists of sets that share a block are compared in rounds: each set with its list's
+hub, the set nearest to the majority of the list's bits; then, only in lists that
+these links leave in several components and across components only, each set with
+its nearest candidates, with more in every round until none is left.  Links within a component
+decide nothing, so a large group of copies costs a few pairs a copy, and no link
+between components is left out.
 
 Defined cases: null or wordless text has no shingles and is linked with nothing;
 fewer words than a shingle make one shingle; a null doc_id is never a component's
@@ -50,6 +53,9 @@ PERCENT = 85
 CHUNK = 1 << 20
 HELD = 1 << 20
 BUCKET_ROWS = 1 << 20
+#: lists up to which all candidates are asked at once, and candidates of the first round beyond
+SHORT = 32
+TAKE = 32
 _A, _B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -272,50 +278,81 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, shingle: int) -> D
     return materialize(both.select("a", "b", "ta", "tb").mapInArrow(linked, "a long, b long"))
 
 
-def _across(met: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of lists' members in different components whose sizes and bit
-    sketches allow a link."""
-    each = met.where("size > 2").select("l1", "l2", F.explode("members").alias("id"))
+def _open_lists(met: DataFrame, roots: DataFrame, least: int) -> DataFrame:
+    """(l1, l2, id, root) of the members of lists of ``least`` members or more
+    that lie in several components."""
+    each = met.where(F.col("size") >= least).select("l1", "l2", "size", F.explode("members").alias("id"))
     each = each.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     split = each.groupBy("l1", "l2").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("l1", "l2")
-    open_ = each.join(split, ["l1", "l2"]).join(sets.select("id", "n", "sketch"), "id")
+    return each.join(split, ["l1", "l2"])
+
 
-    def apart(ids: list, root: list, n: list, sketch: list) -> Iterator[pa.RecordBatch]:
-        ids, root, n = np.array(ids), np.array(root), np.array(n)
+def _across(members: DataFrame, sets: DataFrame, began: DataFrame | None, percent: int, skip: int, take: int) -> DataFrame:
+    """(a, b): pairs of lists' members in different components whose sizes and bit
+    sketches allow a link.
+
+    With ``take`` 0 each member and its list's hub, the member nearest to the
+    majority of the list's bits.  Else, for each member outside the component
+    that was the list's largest when the rounds ``began``, the candidates of
+    rank ``skip`` to ``skip + take`` in the order of their distance; short
+    lists all at once.  Ranks do not depend on later links, so rounds that go
+    through all ranks leave out no pair that could join two components.
+    """
+    def rows_of(ids: list, root: list, start: list, n: list, sketch: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ids, root, start, n = np.array(ids), np.array(root), np.array(start), np.array(n)
         words = min(len(x) for x in sketch) // 8
         bits = np.stack([folded(np.frombuffer(x, "<u8"), words) for x in sketch])
-        names, count = np.unique(root, return_counts=True)
-        rest = np.flatnonzero(root != names[count.argmax()])
-        done = np.zeros(len(ids), bool)
-        for i in rest:   # the largest component's own pairs decide nothing
-            done[i] = True
-            far = np.bitwise_count(bits ^ bits[i]).sum(axis=1)
-            sized = (n * 100 >= n[i] * percent) & (n[i] * 100 >= n * percent)
-            good = np.flatnonzero(sized & ~done & (root != root[i]) & (far * (100 + percent) <= (100 - percent) * (n + n[i])))
-            if len(good):
-                a, b = np.minimum(ids[good], ids[i]), np.maximum(ids[good], ids[i])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        def allowed(i: int) -> tuple[np.ndarray, np.ndarray]:
+            far = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
+            good = (n * 100 >= n[i] * percent) & (n[i] * 100 >= n * percent) & (far * (100 + percent) <= (100 - percent) * (n + n[i]))
+            good[i] = False
+            return np.flatnonzero(good), far
+
+        if not take:
+            ones = np.unpackbits(bits.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+            most = np.packbits(ones * 2 > len(ids)).view(np.uint64)
+            hub = int(np.bitwise_count(bits ^ most).sum(axis=1, dtype=np.int64).argmin())
+            near = allowed(hub)[0]
+            yield ids[near[root[near] != root[hub]]], ids[hub]
+            return
+        names, count = np.unique(start, return_counts=True)
+        for i in np.flatnonzero(start != names[count.argmax()]):   # the largest component's own pairs decide nothing
+            near, far = allowed(i)
+            if len(ids) > SHORT:
+                near = near[np.argsort(far[near] / (n[near] + n[i]), kind="stable")][skip:skip + take]
+            yield ids[near[root[near] != root[i]]], ids[i]
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, ([], [], [], [])
+        now, held = None, ([], [], [], [], [])
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            for others, one in rows_of(*held):
+                if len(others):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(others, one)), pa.array(np.maximum(others, one))], names=["a", "b"])
+
         for batch in batches:
-            for l1, l2, *row in zip(*(batch.column(c).to_pylist() for c in ("l1", "l2", "id", "root", "n", "sketch")), strict=True):
+            for l1, l2, *row in zip(*(batch.column(c).to_pylist() for c in ("l1", "l2", "id", "root", "start", "n", "sketch")), strict=True):
                 if (l1, l2) != now:
                     if now:
-                        yield from apart(*held)
-                    now, held = (l1, l2), ([], [], [], [])
+                        yield from pairs()
+                    now, held = (l1, l2), ([], [], [], [], [])
                 for x, y in zip(held, row, strict=True):
                     x.append(y)
         if now:
-            yield from apart(*held)
+            yield from pairs()
 
-    rows = open_.select("l1", "l2", "id", "root", "n", "sketch").repartition("l1", "l2").sortWithinPartitions("l1", "l2")
+    rows = members.withColumn("start", F.col("id"))
+    if began is not None:
+        start = began.select(F.col("node").alias("id"), F.col("root").alias("start"))
+        rows = members.join(start, "id", "left").withColumn("start", F.coalesce("start", "id"))
+    rows = rows.join(sets.select("id", "n", "sketch"), "id").select("l1", "l2", "id", "root", "start", "n", "sketch").repartition("l1", "l2").sortWithinPartitions("l1", "l2", "id")
     return rows.mapInArrow(compared, "a long, b long").distinct()
 
 
 def linked_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Distinct sets (id, s1, s2, n, least doc_id, sketch, body) and links (a, b)
-    that connect the same sets as all links do."""
+    """Distinct sets (id, s1, s2, n, least doc_id, sketch, body) and (node, root),
+    the components of their links, for sets with links."""
     if not 50 <= percent <= 100:
         raise ValueError("percent is from 50 to 100")
     found = signatures(docs, shingle, with_body=True).where("n > 0")
@@ -323,16 +360,27 @@ def linked_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     sets = materialize(sets.withColumn("id", F.monotonically_increasing_id()))
     bands = Bands.of(percent, (sets.agg(F.max("n")).first()[0] or 1) * 100 // percent + 1)
     met = lists(sets, bands, shingle)
-    first = met.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members") - 1)).alias("b")).distinct()
-    links = verified(first, sets, percent, shingle)
-    more = verified(_across(met, sets, components(links), percent), sets, percent, shingle)
-    return sets, links.unionByName(more)
+    two = met.where("size = 2").select(F.col("members")[0].alias("a"), F.col("members")[1].alias("b"))
+    each = met.where("size > 2").select("l1", "l2", F.explode("members").alias("id")).withColumn("root", F.col("id"))
+    hubs = _across(each, sets, None, percent, 0, 0)
+    began = roots = components(verified(two.unionByName(hubs).distinct(), sets, percent, shingle))
+    skip, take, least = 0, TAKE, 3   # lists of two are done
+    while True:
+        members = materialize(_open_lists(met, roots, least))
+        if members.isEmpty():
+            return sets, roots
+        pairs = materialize(_across(members, sets, began, percent, skip, take))
+        if not pairs.isEmpty():
+            links = verified(pairs, sets, percent, shingle)
+            if not links.isEmpty():   # with what the links so far come to
+                roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+        skip, take, least = skip + take, take * 32, max(SHORT + 1, skip + take + 2)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
-    sets, links = linked_sets(docs, shingle, percent)
-    rooted = sets.select("id", "s1", "s2", "least").join(components(links), F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
+    sets, roots = linked_sets(docs, shingle, percent)
+    rooted = sets.select("id", "s1", "s2", "least").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
     low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(low, "root").select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), "component_id")
     rows = signatures(docs, shingle, with_body=False)
