@@ -298,7 +298,7 @@ def test_a_second_run_by_year_in_the_same_warehouse(spark, tmp_path):
     for name, c in second.items():
         assert not any(c.values()) or name == "_dim_project_windows", name
         assert by_year.paths[name] == plain.paths[name] or name == "_dim_project_windows"
-    assert read_published(spark, wh, "dimension_conflicts").columns == ["dimension", "key", "value", "candidates", "rows", "picked"]
+    assert read_published(spark, wh, "_dimension_conflicts").columns == ["dimension", "key", "value", "candidates", "rows", "picked"]
     since = dt.datetime(2024, 1, 1)
     for target, date in job.WINDOW_DATES.items():
         a, b = spark.read.parquet(plain.paths[target]), read_published(spark, wh, target)
