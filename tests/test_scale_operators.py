@@ -307,3 +307,39 @@ def test_a_second_run_by_year_in_the_same_warehouse(spark, tmp_path):
         assert part.columns == a.columns and part.count() == a.where(F.col(date) >= F.lit("2024-01-01").cast("timestamp_ntz")).count()
         filters = [line for line in plan_text(part).splitlines() if line.startswith("PartitionFilters")][0]
         assert year_column(date) in filters
+
+
+def test_periods_of_few_and_many_rows_agree_and_rows_travel_once(spark, monkeypatch):
+    """quarantine_vms, feed_vms, feed_ivr: an ordinary key's rows meet in one shuffle, without buckets."""
+    from quayside.operators import periods as module
+    from quayside.operators.maintenance import written_tables
+    df = spark.createDataFrame(validity_rows(), "permit string, itis string, f timestamp_ntz, t timestamp_ntz, code string")
+
+    def rows(few):
+        monkeypatch.setattr(module, "FEW", few)
+        with written_tables() as tables:
+            out = code_periods(df, ["permit", "itis"], "f", "t", {"code": "code"}, null_end_open=True, bucket_days=30)
+        return out, len(tables), sorted(map(tuple, out.collect()), key=str)
+    all_few, written, got = rows(1000)
+    assert got == rows(0)[2] == rows(64)[2]
+    plan = all_few._jdf.queryExecution().analyzed().toString()
+    assert written == 2 and "_plvl" not in plan and "_lvl" not in plan
+
+
+def test_latest_at_writes_no_rows_and_skips_periods_nobody_asks_for(spark):
+    from quayside.operators.maintenance import written_tables
+    periods = spark.range(4_000).select((F.col("id") % 400).cast("string").alias("k"), F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("since"), F.col("id").alias("v"))
+    rows = spark.range(50).select("id", F.when(F.col("id") % 5 > 0, (F.col("id") % 4).cast("string")).alias("k"), F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("at"))
+    with written_tables() as tables:
+        got = latest_at(rows, periods, {"k": "k"}, "at", {"v": "v"})
+    assert all("id" not in t.columns for t in tables)          # a filter's keys and words only
+    want = {i: max((v for v in range(4_000) if v % 400 == i % 4 and v * 60 <= i * 3600), default=None) if i % 5 else None for i in range(50)}
+    assert {r.id: r.v for r in got.collect()} == want
+
+
+def test_only_possible_loses_no_row(spark):
+    from quayside.operators import only_possible
+    keys = spark.range(0, 200, 7).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    got = {r.id for r in only_possible(spark.range(5_000), "id", keys, "k").collect()}
+    assert {i for i in range(0, 200, 7) if i % 2 == 0} <= got and len(got) < 500
+    assert only_possible(spark.range(10), "id", keys.select(F.col("k").cast("string").alias("k")), "k").count() == 10
