@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -215,6 +216,59 @@ def test_range_coder_round_trip_and_checksums():
         range_coder.decode(bytes(coded))
 
 
+def test_range_coder_is_small_in_memory_and_on_disk():
+    """No table of a block is as long as the vocabulary; blocks come within 12 % of the entropy of ids that follow no context."""
+    rng = np.random.default_rng(4)
+    ids = rng.permutation(50_257)[np.minimum(rng.zipf(1.2, 64 * range_coder.BLOCK), 3000) - 1].astype(np.uint32)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    tracemalloc.start()
+    coded = range_coder.encode(ids, 50_257)
+    peaks = [tracemalloc.get_traced_memory()[1]]
+    tracemalloc.reset_peak()
+    assert (range_coder.decode(coded) == ids).all()
+    peaks.append(tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert max(peaks) < 45 * len(ids)
+    assert 8 * len(coded) / len(ids) < 1.12 * -(share * np.log2(share)).sum()
+
+
+def test_range_coder_odd_sizes_and_faults():
+    rng = np.random.default_rng(5)
+    for v, n in ((1, 9000), (500, 15), (500, 17), (70_000, 30_000), (1 << 18, 1 << 18), (50_257, 8191)):
+        for ids in (rng.integers(0, v, n), np.full(n, v - 1), np.arange(n) % min(v, 7)):
+            assert (range_coder.decode(range_coder.encode(ids.astype(np.uint32), v)) == ids).all()
+    coded = range_coder.encode((rng.zipf(1.2, 17_000) % 50_257).astype(np.uint32), 50_257)
+    for at in rng.integers(0, len(coded), 60):
+        wrong = bytearray(coded)
+        wrong[at] ^= 1 << int(rng.integers(0, 8))
+        if at not in range(6, 12):   # spare bytes, and the vocabulary, which only sizes the list
+            with pytest.raises(ValueError):
+                range_coder.decode(bytes(wrong))
+    again = np.tile(rng.integers(0, 50_257, 50), 400).astype(np.uint32)   # orders 1 and 2 know what follows
+    assert len(range_coder.encode(again, 50_257)) < 0.06 * len(again)
+
+
+def test_byte_tokens_of_many_texts(monkeypatch):
+    """Texts cut together, long pre-tokens, a table that overflows: the library's ids and the pattern's cuts."""
+    from quayside.llm import byte_tokens
+    rng = random.Random(12)
+    parts = ["a", "be", " ", "  ", "\n", "é", "Ž", "'s", "'re", "'l", "'", "1", "23", "!", "word", " then", "x" * 17, " " + "é" * 9, "=" * 60, "日"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 15))) for _ in range(400)]
+    library = token_files_library()
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert byte_tokens.Encoder(BYTE).encode(texts) == want
+    sure = [t for t in texts if t and "日" not in t]
+    size = np.array([len(t.encode()) for t in sure])
+    whole = "".join(sure).encode()
+    begin = byte_tokens.cut(np.frombuffer(whole, np.uint8), np.cumsum(size) - size).tolist()
+    assert [whole[a:b].decode() for a, b in zip(begin, [*begin[1:], len(whole)])] == [p for t in sure for p in byte_tokens._PRE_TOKEN.findall(t)]
+    monkeypatch.setattr(byte_tokens, "CACHE_TOKENS", 60)
+    monkeypatch.setattr(byte_tokens, "_GROUP", 40)
+    monkeypatch.setattr(byte_tokens._Table, "SLOTS", 9)
+    enc = byte_tokens.Encoder(BYTE)
+    assert enc.encode(texts) == want and enc.encode(texts) == want
+
+
 def test_byte_tokens_are_the_librarys():
     from quayside.llm.byte_tokens import encoder
     rng = random.Random(2)
